@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from . import chat, language, sharding
+from . import chat, decontaminate, hamming, language, packing, pii, sharding
 
 QUERIES = {
     "op1_chat_formatting": chat.op1_chat_formatting,
     "op2_language_id": language.op2_language_id,
     "op3_shard_lookup": sharding.op3_shard_lookup,
+    "op4_best_fit_packing": packing.op4_best_fit_packing,
+    "op5_pii": pii.op5_pii,
+    "op8_decontamination": decontaminate.op8_decontamination,
+    "op9_hamming_top_k": hamming.op9_hamming_top_k,
 }
 ORACLE_SQL = {
     "op1_chat_formatting": chat.ORACLE,
     "op3_shard_lookup": sharding.ORACLE,
+    "op9_hamming_top_k": hamming.ORACLE,
 }
