@@ -1,10 +1,10 @@
 """Best-fit packing by hierarchical residual packing.
 
 A document is its token ids and an end id. One longer than a sequence is cut into full sequences, its first piece being
-the shorter rest; only the shorter pieces need packing. Every partition best-fits its own items, longest first, and
-emits the bins that are nearly full. The other bins go on as items (a bin is packed as a whole) to a round on fewer
-partitions, and so on up to one; each round holds only what the rounds before left open, and the slack up to which a
-bin counts as nearly full grows from round to round. A bin's place in its parent is added up at the end.
+the shorter rest; only the shorter pieces need packing. Every partition best-fits its own items, longest first, into the
+fullest bin that has room, and emits the bins that are nearly full. Bins left underfull go on to a round on at most a
+quarter of the partitions, their pieces as items again, and so on up to one, which emits all. So that long items of one
+partition meet short ones of another, each partition also opens about the square root of its bins of short items only.
 
 Token ids equal those of the ``tokenizers`` library for the same file. Texts are cut at single spaces between other
 characters, where its byte-level pattern always ends a token, and each distinct cut is tokenized once by ``tiktoken``
@@ -38,7 +38,9 @@ VOCABULARY = "byte_bpe_50k"
 SPECIAL = "<|endoftext|>"
 ODD_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-LEAST_ROUND = 4  # partitions of a round are a quarter of the last one's
+PER_PARTITION = 100_000  # items of a partition of the first round; a row is two longs
+ROUND = 4  # a round has at most a quarter of the last one's partitions
+SLACK = 1  # room up to which a bin is nearly full
 
 _tokenizers: dict = {}
 
@@ -137,12 +139,9 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _round(items: DataFrame, capacity: int, slack: int) -> DataFrame:
-    """Best-fit each partition's items (item, fill): (item, fill, bin, place, bin_fill, closed)."""
+    """Best-fit each partition's items (item, fill): (item, fill, bin, place, closed)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
         got = [pa.RecordBatch.from_arrays([b.column("item"), b.column("fill")], ["item", "fill"]) for b in batches if b.num_rows]
         if not got:
             return
@@ -150,38 +149,36 @@ def _round(items: DataFrame, capacity: int, slack: int) -> DataFrame:
         fill = np.concatenate([b.column("fill").to_numpy(zero_copy_only=False) for b in got])
         order = np.lexsort((item, -fill))  # a run again gives the same bins
         item, fill = item[order], fill[order]
-        for at in range(0, len(item), 1_000_000):  # bounded memory, whatever a partition holds
-            own, size = item[at : at + 1_000_000], fill[at : at + 1_000_000]
-            bin_of, place, room = best_fit(size, capacity)
-            rooms = np.array(room, np.int64)
-            lead = np.full(len(rooms), -1, np.int64)
-            lead[bin_of[place == 0]] = own[place == 0]  # a bin is named by its first item
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (own, size, lead[bin_of], place, capacity - rooms[bin_of], rooms[bin_of] <= slack)], ["item", "fill", "bin", "place", "bin_fill", "closed"])
-
-    return items.mapInArrow(run, "item long, fill long, bin long, place long, bin_fill long, closed boolean")
-
-
-def pack(items: DataFrame, capacity: int = SEQUENCE) -> DataFrame:
+        bin_of, place, room = best_fit(fill, capacity)
+        rooms = np.array(room, np.int64)
+        closed = rooms <= slack
+        if slack < capacity:
+            large = np.zeros(len(rooms), bool)
+            large[bin_of[fill > capacity // 2]] = True
+            # other partitions may lack small items: some bins of small items only are opened again
+            spare = np.flatnonzero(closed & ~large)[-int(np.ceil(np.sqrt(len(rooms)))) :]
+            closed[spare] = False
+        lead = np.zeros(len(rooms), np.int64)
+        lead[bin_of[place == 0]] = item[place == 0]  # a bin is named by its first item
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (item, fill, lead[bin_of], place, closed[bin_of])], ["item", "fill", "bin", "place", "closed"])
+
+    return items.mapInArrow(run, "item long, fill long, bin long, place long, closed boolean")
+
+
+def pack(items: DataFrame, capacity: int = SEQUENCE, per_partition: int = PER_PARTITION) -> DataFrame:
     """(item, sequence_id, offset) for items (item long, distinct; fill long, from 1 to capacity)."""
-    parts = max(1, items.rdd.getNumPartitions())
-    placed = None
-    slack = 0
+    left = items.count()
+    out = None
+    parts = max(1, -(-left // per_partition))
     while True:
-        done = cut(_round(items, capacity, slack if parts > 1 else capacity))
-        now = done.select("item", "bin", "place", "bin_fill", "closed")
-        if placed is None:
-            placed = now.withColumn("top", F.col("item"))
-        else:  # what an open bin held moves along with it
-            moved = now.select(F.col("item").alias("bin"), F.col("bin").alias("to"), F.col("place").alias("by"), F.col("bin_fill").alias("f"), F.col("closed").alias("c"))
-            placed = placed.join(moved, "bin", "left").select(
-                "item", F.coalesce("to", "bin").alias("bin"), (F.col("place") + F.coalesce("by", F.lit(0))).alias("place"), F.coalesce("f", "bin_fill").alias("bin_fill"), F.coalesce("c", "closed").alias("closed")
-            )
+        done = cut(_round(items.repartition(parts, F.xxhash64("item", F.lit(parts))), capacity, SLACK if parts > 1 else capacity))
+        full = done.where("closed").select("item", F.col("bin").alias("sequence_id"), F.col("place").alias("offset"))
+        out = full if out is None else out.unionByName(full)
         if parts == 1:
-            return placed.select("item", F.col("bin").alias("sequence_id"), F.col("place").alias("offset"))
-        parts = max(1, parts // LEAST_ROUND)
-        slack = 2 * slack + 1
-        items = done.where(~F.col("closed") & (F.col("place") == 0)).select(F.col("bin").alias("item"), F.col("bin_fill").alias("fill"))
-        items = items.repartition(parts, F.xxhash64("item"))
+            return out
+        items = done.where("NOT closed").select("item", "fill")
+        left = items.count()
+        parts = max(1, min(parts // ROUND, -(-left // per_partition)))
 
 
 def pack_documents(docs: DataFrame, sequence: int = SEQUENCE, end_id: int = END_ID, vocabulary: str = VOCABULARY) -> DataFrame:
