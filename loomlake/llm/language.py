@@ -109,6 +109,7 @@ class CrossParser:
         self.roots = np.array(roots, np.int32)
         again = [np.where(t[0] >= 0, t[0], r) for t, r in zip(blocks, roots, strict=True)]
         self.again = np.array(again, np.int32).reshape(len(blocks), self.size)
+        self.unknown = self.again == self.roots[:, None]  # a letter that never occurs is a phrase of its own
 
     def symbols(self, points: np.ndarray) -> np.ndarray:
         s = self.code[points]
@@ -135,7 +136,8 @@ class CrossParser:
             c = padded[starts[:n] + t]
             to = self.trans[state[:, :n] + c]
             dead = to < 0
-            count[:, :n] += dead
+            count[:, :n] += dead & (state[:, :n] != self.roots[:, None])
+            count[:, :n] += self.unknown[:, c]
             state[:, :n] = np.where(dead, self.again[:, c], to)
         count += state != self.roots[:, None]
         out = np.zeros((len(lens), langs))
