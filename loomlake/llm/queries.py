@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, hamming, language, packing, pii, sharding
+from . import chat, decontaminate, hamming, jaccard, language, packing, pii, sharding
 
 QUERIES = {
     "op1_chat_formatting": chat.op1_chat_formatting,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_shard_lookup": sharding.op3_shard_lookup,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op5_pii": pii.op5_pii,
+    "op6_jaccard_join": jaccard.op6_jaccard_join,
     "op8_decontamination": decontaminate.op8_decontamination,
     "op9_hamming_top_k": hamming.op9_hamming_top_k,
 }

@@ -1,0 +1,407 @@
+"""The training-data operators against brute force, round trips and held-out rows; edge cases of each."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from loomlake.llm import chat, common, decontaminate, hamming, jaccard, language, packing, pii, sharding
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, fill long, item long, start long, score double"
+
+
+def docs(spark, texts, start=0):
+    """Documents with extra columns whose names clash with the operators' own."""
+    rows = [(start + i, t, "en", "s", 0, 5, 6, 7, 0.5) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+# --- chat ---
+
+TURNS = "conv_id long, turn long, role string, text string, target long, head string"
+
+
+def test_chat_round_trip(spark):
+    nasty = ["\\### Assistant: </turn> ok", "", None, "a\\", "</turn>\n### user: x", "é#\\:</turn>", "\n\n", "x" * 50_000]
+    rows = [(c, t, ["user", "assistant", "system", "a: b"][(c + t) % 4], nasty[(3 * c + t) % len(nasty)], 1, "h") for c in range(6) for t in range(c + 1)]
+    rows += [(9, 0, None, "no reply", 1, "h"), (None, 0, "assistant", "null id", 1, "h"), (8, 0, "user", "same", 1, "h"), (8, 0, "user", "same", 1, "h"), (8, 1, "assistant", "r", 1, "h")]
+    df = spark.createDataFrame(rows, TURNS)
+    got = {r["conv_id"]: r for r in chat.digests(chat.prefix_target_examples(df)).collect()}
+    want = defaultdict(list)
+    for c, t, role, text, _, _ in rows:
+        want[c].append((t, role or "", text or ""))
+    assert set(got) == set(want)
+    for c, turns in want.items():
+        turns.sort()
+        assert got[c]["n_turns"] == len(turns)
+        assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in turns).encode()).hexdigest()
+        loss = "".join(x for _, r, x in turns if r == "assistant")
+        assert (got[c]["loss_chars"], got[c]["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
+def test_chat_examples_mask_only_the_last_reply(spark):
+    df = spark.createDataFrame([(1, 0, "user", "q", 0, ""), (1, 1, "assistant", "a1", 0, ""), (1, 2, "user", "p", 0, ""), (1, 3, "assistant", "a2", 0, ""), (1, 4, "user", "end", 0, "")], TURNS)
+    got = sorted(chat.prefix_target_examples(df).collect(), key=lambda r: (r["target"] is None, r["target"]))
+    assert [r["target"] for r in got] == [1, 3, None]
+    assert [r["text"][r["loss_start"] : r["loss_start"] + r["loss_length"]] for r in got[:2]] == ["a1", "a2"]
+    assert got[1]["text"] == "### user: q</turn>\n### assistant: a1</turn>\n### user: p</turn>\n### assistant: a2</turn>\n"
+    assert got[2]["text"] == "### user: end</turn>\n"
+    assert chat.digests(chat.prefix_target_examples(df.limit(0))).count() == 0
+
+
+# --- language ---
+
+
+def naive_phrases(train, text):
+    n, i = 0, 0
+    while i < len(text):
+        j = i
+        while j < len(text) and text[i : j + 1] in train:
+            j += 1
+        n, i = n + 1, max(j, i + 1)
+    return n
+
+
+def test_cross_parsing_matches_naive():
+    r = random.Random(2)
+    train = {"aa": ["".join(r.choices("abcd ", k=400))], "bb": ["".join(r.choices("cdef ", k=400))]}
+    model = language.CrossParser(train)
+    for k in range(60):
+        text = re.sub(" +", " ", "".join(r.choices("abcdef ", k=r.randint(1, 300))))
+        seq = model.symbols(np.frombuffer(text.encode("utf-32-le"), "<u4"))
+        got = model.phrases(seq, np.array([0, len(seq)]))[0]
+        spaced = re.sub(" +", " ", train["aa"][0]), re.sub(" +", " ", train["bb"][0])
+        assert got.tolist() == [naive_phrases(s.lstrip() + " ", text.lstrip()) for s in spaced]
+
+
+def test_language_edges(spark):
+    en, de = "the quick brown fox jumps over the lazy dog " * 30, "der schnelle braune fuchs springt über den faulen hund " * 30
+    rows = [(i, [en, de][i % 2], ["en", "de"][i % 2]) for i in range(20)] + [(20, None, "en"), (21, "", "de"), (22, "123 !?", "en"), (23, "the dog", None), (24, "the dog", "xx")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("clash"))
+    model = language.fit(df.where("doc_id < 20"))
+    got = {r["doc_id"]: r for r in language.identify(df, model).collect()}
+    assert len(got) == 25
+    assert all(got[i]["lang_pred"] == ["en", "de"][i % 2] for i in range(20))
+    assert [got[i]["lang_pred"] for i in (20, 21, 22)] == ["und"] * 3 and got[20]["score"] == 0
+    assert got[23]["lang_pred"] == got[24]["lang_pred"] == "en" and got[23]["score"] == got[24]["score"]
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+    assert language.identify(df.limit(0), model).count() == 0
+    none = language.fit(df.limit(0))
+    assert {r["lang_pred"] for r in language.identify(df, none).collect()} == {"und"}
+
+
+def test_language_held_out_accuracy(spark):
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = language.fit(d.where(~language.held_out()))
+    got = language.identify(d, model).join(d.where(language.held_out()).select("doc_id", "lang"), "doc_id").collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in got) >= 0.97 * len(got)
+
+
+# --- sharding ---
+
+
+def test_lookup_table_is_balanced_and_stable():
+    t = sharding.lookup_table()
+    n = Counter(t)
+    assert len(t) == sharding.SLOTS and max(n.values()) - min(n.values()) <= 1
+    fewer = sharding.lookup_table(sharding.SHARDS[:-1])
+    gone = len(sharding.SHARDS) - 1
+    assert sum(a != b for a, b in zip(t, fewer, strict=True) if a != gone) < 0.25 * len(t)
+    with pytest.raises(ValueError):
+        sharding.lookup_table(slots=2040)
+
+
+def test_sharding_edges(spark):
+    df = spark.createDataFrame([(None, 1, "x"), (5, 2, "y"), (5, 3, "z")], "doc_id long, slot int, shard string")
+    got = sharding.assign(df, "doc_id").collect()
+    assert len(got) == 3 and len({r["shard"] for r in got if r["doc_id"] == 5}) == 1 and all(r["shard"] for r in got)
+    assert sharding.assign(df.limit(0), "doc_id").count() == 0
+    plan = sharding.assign(df, "doc_id")._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Exchange hashpartitioning" not in plan
+
+
+# --- packing ---
+
+ODD_TEXTS = ["", None, "hello world", " lead", "trail ", "a  b", "a   b", "x \n y", "tab\tx", "nb\xa0 sp", "<|endoftext|> in text", "é ü ñ", "it's o'clock we'll", "１２ ² Ⅷ", "word " * 3000, "z" * 5000, "\n", " ", "a\n b", "a \nb", "日本 語"]
+
+
+def test_ids_equal_the_library():
+    t = packing.CachedTokenizer(packing.VOCABULARY)
+    texts = [x or "" for x in ODD_TEXTS]
+    for text, got in zip(texts, t.ids(texts), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == t.whole.encode(text, add_special_tokens=False).ids, text
+
+
+def check_packing(rows, lengths, capacity):
+    by_doc, by_seq = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r["doc_id"]].append(r)
+        by_seq[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert {d: sum(p["length"] for p in ps) for d, ps in by_doc.items()} == lengths
+    for ps in by_doc.values():
+        ps.sort(key=lambda p: p["piece"])
+        assert [p["piece"] for p in ps] == list(range(len(ps))) and all(p["length"] == capacity for p in ps[1:])
+        assert [p["start"] for p in ps] == [sum(q["length"] for q in ps[:i]) for i in range(len(ps))]
+    for own in by_seq.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(by_seq)
+
+
+def test_packing(spark):
+    df = docs(spark, ODD_TEXTS + ["repeat me " * 20] * 30).repartition(8)
+    got = packing.pack_documents(df, sequence=64).collect()
+    t = packing.CachedTokenizer(packing.VOCABULARY)
+    texts = {r["doc_id"]: r["text"] or "" for r in df.collect()}
+    ids = {d: t.whole.encode(x, add_special_tokens=False).ids + [2] for d, x in texts.items()}
+    n = check_packing(got, {d: len(x) for d, x in ids.items()}, 64)
+    total = sum(map(len, ids.values()))
+    assert n <= -(-total // 64) + 12
+    for r in got:
+        own = ids[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert r["ids_crc32"] == zlib.crc32(np.array(own, "<u4").tobytes())
+    assert packing.pack_documents(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("top", [1023, 200])
+def test_hierarchical_rounds_are_near_the_bound(spark, top):
+    r = random.Random(1)
+    rows = [(i, r.randint(1, top)) for i in range(20_000)]
+    size = dict(rows)
+    got = packing.pack(spark.createDataFrame(rows, "item long, fill long"), 1024, per_partition=2000).collect()
+    pieces = [{"doc_id": x["item"], "piece": 0, "start": 0, "length": size[x["item"]], "sequence_id": x["sequence_id"], "offset": x["offset"]} for x in got]
+    used = check_packing(pieces, size, 1024)
+    assert used <= 1.006 * -(-sum(size.values()) // 1024) + 1
+
+
+# --- personal data ---
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_spans(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            ok = {"email": True, "ip": all(int(x) <= 255 for x in m.group().split(".")) if kind == "ip" else True, "card": 12 <= len(digits) <= 19 and pii.luhn(digits), "phone": 9 <= len(digits) <= 15}[kind]
+            if ok:
+                out.append((m.start(), kind, m.end()))
+    return sorted(out, key=lambda s: (s[0], pii.KINDS.index(s[1])))
+
+
+def test_base_spans_match_the_patterns():
+    r = random.Random(3)
+    bits = ["a@b.co", "@", ".", "+1 (555) 555-1234", "4111111111111111", "4111-1111 1111 1111", "1.2.3.4", "300.1.1.1", "1.2.3.4.5.6.7.8", " ", "-", "_x@d.e", "%", "x@y.z_q@r.s.t", "012", "99", "é", "+", "(", "\n", "08.8.8.8", "a.b@c-d.e-f"]
+    for _ in range(4000):
+        text = "".join(r.choices(bits, k=r.randint(1, 9)))
+        assert pii.base_spans(text) == plain_spans(text), text
+    assert pii.base_spans("1" * 200_000) == [] and pii.base_spans("1." * 50_000)[:1] == [(0, "ip", 7)]
+    assert pii.base_spans("a" * 100_000 + "@") == []
+
+
+def test_stretches_cover_the_context():
+    r = random.Random(5)
+    for _ in range(500):
+        words = [r.choice(["ab", "c,", "d1", "x@y", "zz", "q"]) for _ in range(r.randint(1, 25))]
+        text = " ".join(words)
+        want, trig = set(), [i for i, w in enumerate(words) if re.search("[0-9@]", w)]
+        for i in trig:
+            want |= set(range(max(0, i - pii.CONTEXT), min(len(words), i + pii.CONTEXT + 1)))
+        starts = [m.start() for m in re.finditer(r"\S+", text)]
+        got = [p for _, places in pii.stretches(text) for p in places]
+        assert sorted({starts.index(a) for a, _ in got}) == sorted(want), text
+        assert len(got) == len(set(got)) and got == sorted(got)
+        assert all(text[a:b] == w for ws, ps in pii.stretches(text) for w, (a, b) in zip(ws, ps, strict=True))
+
+
+def viterbi_slow(crf, emit):
+    import itertools
+
+    best = max(itertools.product(range(len(pii.LABELS)), repeat=len(emit)), key=lambda y: crf.first[y[0]] + sum(emit[i][k] for i, k in enumerate(y)) + sum((crf.pair + crf.barred)[a, b] for a, b in zip(y, y[1:])))
+    return list(best)
+
+
+@pytest.fixture(scope="module")
+def crf():
+    return pii.train(pii.training_table())
+
+
+def test_random_field(crf):
+    r = np.random.default_rng(0)
+    emits = [r.normal(size=(n, len(pii.LABELS))) * 3 for n in (1, 2, 3, 4, 4)]
+    assert [y.tolist() for y in crf.viterbi(emits)] == [viterbi_slow(crf, e) for e in emits]
+    fresh = pii.training_table(rows=400, seed=99)
+    wrong = sum((y != np.array([pii.LABELS.index(k) for k in labels])).any() for (_, labels), y in zip(fresh, crf.viterbi([crf.scores(w) for w, _ in fresh]), strict=True))
+    assert wrong <= 0.05 * len(fresh)
+
+
+def test_pii_edges(spark, crf):
+    texts = [None, "", "call 555-123-4567 now", "mail an.be@mail5.example.com or ip 10.0.0.1", "plain words only", "card 4111 1111 1111 1111, phone +1 (743) 555-3824", "token = \"24be64439e3e49cf46b2d7c90f3602a3d0b907ff\"", "same 1.1.1.1", "same 1.1.1.1", "é 1.1.1.1 " + "pad " * 60_000]
+    df = docs(spark, texts).withColumn("base", F.lit(1))
+    got = {r["doc_id"]: r for r in pii.digest(pii.find(df, crf)).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        assert got[i]["base_sha256"] == pii.base_digest(t)
+        assert set(f"{k}:{a}:{b}" for a, k, b in pii.base_spans(t or "")) <= set(got[i]["spans"].split(","))
+    assert got[2]["spans"] == "phone:5:17" and got[4]["spans"] == "" and got[6]["spans"] == ""
+    assert got[7]["spans"] == got[8]["spans"]
+    masked = {r["doc_id"]: r["text"] for r in pii.redact(df, crf).collect()}
+    assert masked[0] is None and masked[2] == "call <phone> now" and masked[3] == "mail <email> or ip <ip>"
+    assert pii.redact(df, crf).columns == df.columns and pii.find(df.limit(0), crf).count() == 0
+
+
+# --- decontamination ---
+
+
+def test_decontamination_against_brute_force(spark):
+    r = random.Random(4)
+    words = ["the", "of", "Ab", "cd9", "é", "ef", "GH", "ij"]
+    text = lambda n: " ".join(r.choices(words, k=n)) if n else ""
+    items = [(i, text(r.choice([1, 3, 9, 10, 14]))) for i in range(25)] + [(25, None), (26, ""), (27, "ab ab ab ab ab ab ab ab ab ab ab"), (3, "ab cd9")]
+    rows = [(i, text(r.randint(0, 120))) for i in range(60)] + [(60, None), (61, ""), (62, "ab " * 30), (63, "x-" * 9), (64, "THE!!OF " + "ab " * 20_000)]
+    rows += [(70 + i, " ".join(["zz", items[i][1] or "", "yy"]).upper()) for i in range(25)]
+    rows += [rows[0], rows[62]]
+    d = docs(spark, []).select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string")).withColumn("item_id", F.lit(1)).withColumn("terms", F.lit("t"))
+    b = spark.createDataFrame([(i, t, 0) for i, t in items], "item_id long, text string, doc_id long")
+    want = Counter(brute_contamination(rows, items))
+    for block in (decontaminate.BLOCK_PHRASES, 40):
+        found = decontaminate.contamination(d.distinct() if block == 40 else d, b, block_phrases=block).collect()
+        got = Counter((x["doc_id"], x["n_words"], x["n_hit"], len(x["items"]), hashlib.sha256(",".join(x["items"]).encode()).hexdigest()) for x in found)
+        assert got == (Counter(set(want)) if block == 40 else want)
+    assert decontaminate.contamination(d.limit(0), b).count() == 0
+    assert {x["n_hit"] for x in decontaminate.contamination(d, b.limit(0)).collect()} == {0}
+    near = {(x["doc_id"], x["position"]) for x in decontaminate.proximity(decontaminate.positional_index(docs(spark, ["a b c x", "a q q q q c", "c a"])), ["a", "c"], 2).collect()}
+    assert {d for d, _ in near} == {0, 2}
+
+
+def brute_contamination(rows, items, window=10):
+    pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    fold = str.maketrans({c: chr(c + 32) for c in range(65, 91)})
+    split = lambda t: pattern.findall((t or "").translate(fold))
+    windows = defaultdict(set)
+    for item, text in items:
+        w = split(text)
+        for k in range(max(1, len(w) - window + 1) if w else 0):
+            windows[tuple(w[k : k + window])].add(str(item))
+    out = []
+    for doc, text in rows:
+        w, hit, found = split(text), set(), set()
+        for size in {len(x) for x in windows}:
+            for k in range(len(w) - size + 1):
+                if got := windows.get(tuple(w[k : k + size])):
+                    hit.update(range(k, k + size))
+                    found |= got
+        out.append((doc, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()))
+    return out
+
+
+# --- Hamming ---
+
+
+def test_hamming_edges(spark):
+    r = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in r.normal(size=64)], "c") for i in range(40)]
+    rows += [(100 + i, rows[3][1], "c") for i in range(30)] + [(200, None, "c"), (201, [], "c"), (202, [None] * 64, "c"), (None, rows[0][1], "c"), (5, rows[5][1], "c"), (203, [1.0, -1.0], "c")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, code string")
+    got = defaultdict(list)
+    for x in sorted(hamming.top_k(df, F.col("vec_id") % 10 == 0, k=5, max_radius=1).collect(), key=lambda x: (x["query_id"], x["rank"])):
+        got[x["query_id"]].append((x["distance"], x["neighbour_id"]))
+    codes = {i: [bool(v is not None and v > 0) for v in e] + [False] * (64 - len(e)) for i, e, _ in rows if i is not None and e}
+    for q in [i for i in codes if i % 10 == 0]:
+        want = sorted((sum(a != b for a, b in zip(codes[q], c, strict=True)), i) for i, c in codes.items() if i != q)[:5]
+        assert got.pop(q) == want
+    assert not got
+    assert hamming.top_k(df.limit(0), F.col("vec_id") % 10 == 0).count() == 0
+
+
+# --- Jaccard join ---
+
+
+def brute_components(rows):
+    def shingles(t):
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
+        return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+    sets = [(d, shingles(t)) for d, t in rows]
+    up = {d: d for d, _ in rows}
+
+    def find(d):
+        while up[d] != d:
+            d = up[d]
+        return d
+
+    for k, (d, s) in enumerate(sets):
+        for e, t in sets[:k]:
+            if s and t and 100 * len(s & t) >= 80 * len(s | t):
+                a, b = sorted((find(d), find(e)))
+                up[b] = a
+    return {(d, len(s), find(d)) for d, s in sets}
+
+
+def near_copies(seed, n):
+    r = random.Random(seed)
+    word = lambda: "w" + str(r.randint(0, 10**6))
+    out = []
+    shared = [word() for _ in range(60)]
+    while len(out) < n:
+        base = [word() for _ in range(r.choice([3, 5, 8, 40, 200]))]
+        if r.random() < 0.3:
+            base += shared
+        for _ in range(r.choice([1, 1, 2, 6, 25])):
+            copy = list(base)
+            for _ in range(r.choice([0, 1, 1, 2, 4, 6])):
+                copy[r.randrange(len(copy))] = word()
+            out.append("  ".join(copy).upper() if r.random() < 0.2 else " ".join(copy))
+    return out
+
+
+@pytest.mark.parametrize("block", [None, 3000])
+def test_jaccard_join_against_brute_force(spark, monkeypatch, block):
+    if block:
+        monkeypatch.setattr(jaccard, "BLOCK", block)  # large families are split
+    rows = list(enumerate(near_copies(7, 500))) + [(1000, None), (1001, ""), (1002, " \t\n"), (1003, "one two"), (1004, "ONE  two"), (1005, "x " * 30_000), (1006, "x " * 20_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit(1)).withColumn("family", F.lit("f")).repartition(5)
+    got = {tuple(x) for x in jaccard.near_duplicates(df).select("doc_id", "n_shingles", "component_id").collect()}
+    assert got == brute_components(rows)
+    if not block:
+        assert jaccard.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_dual_traversal_finds_all_links():
+    r = np.random.default_rng(3)
+    base = r.integers(0, 2**63, 300, dtype=np.int64).view(np.uint64)
+    sets = [np.unique(np.concatenate([r.choice(base, r.integers(150, 200), replace=False), r.integers(0, 2**63, r.integers(0, 30), dtype=np.int64).view(np.uint64)])) for _ in range(60)]
+    sets += [np.unique(np.concatenate([base[: 100 + k], base[200 : 200 + k]])) for k in range(60)]
+    want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if 100 * len(set(sets[i]) & set(sets[j])) >= 80 * len(set(sets[i]) | set(sets[j]))}
+    tree = jaccard.SignatureTree(sets)
+    assert set(jaccard.dual_traversal(tree)) == want
+    tree.exact = None
+    assert set(jaccard.dual_traversal(tree)) == want
+
+
+# --- shared helpers ---
+
+
+def test_word_hashes_tell_words_apart():
+    text = pa.array(["a b aa ab abcdefgh abcdefghi", None, "abcdefgh a", "", "x" * 100_000 + " " + "x" * 100_001])
+    data, offsets = common.text_bytes(text)
+    starts, ends, rows = common.word_spans(data, offsets, common.NON_SPACE)
+    words = [bytes(data[a:b]) for a, b in zip(starts, ends, strict=True)]
+    assert words[:6] == [b"a", b"b", b"aa", b"ab", b"abcdefgh", b"abcdefghi"] and rows.tolist() == [0, 6, 6, 8, 8, 10]
+    h = common.word_hashes(data, starts, ends)
+    assert len(set(h.tolist())) == len(set(words)) and h[4] == h[6] and h[0] == h[7]
