@@ -313,13 +313,14 @@ def brute_contamination(rows, items, window=10):
 # --- Hamming ---
 
 
-def test_hamming_edges(spark):
+@pytest.mark.parametrize("values", [10, 25_000])  # few values: most queries are compared with all
+def test_hamming_edges(spark, values):
     r = np.random.default_rng(1)
     rows = [(i, [float(x) for x in r.normal(size=64)], "c") for i in range(40)]
     rows += [(100 + i, rows[3][1], "c") for i in range(30)] + [(200, None, "c"), (201, [], "c"), (202, [None] * 64, "c"), (None, rows[0][1], "c"), (5, rows[5][1], "c"), (203, [1.0, -1.0], "c")]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, code string")
     got = defaultdict(list)
-    for x in sorted(hamming.top_k(df, F.col("vec_id") % 10 == 0, k=5, max_radius=1).collect(), key=lambda x: (x["query_id"], x["rank"])):
+    for x in sorted(hamming.top_k(df, F.col("vec_id") % 10 == 0, k=5, max_values=values).collect(), key=lambda x: (x["query_id"], x["rank"])):
         got[x["query_id"]].append((x["distance"], x["neighbour_id"]))
     codes = {i: [bool(v is not None and v > 0) for v in e] + [False] * (64 - len(e)) for i, e, _ in rows if i is not None and e}
     for q in [i for i in codes if i % 10 == 0]:
