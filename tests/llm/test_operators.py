@@ -383,6 +383,20 @@ def test_jaccard_join_against_brute_force(spark, monkeypatch, block):
         assert jaccard.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_linked_sets_have_a_common_token():
+    r = np.random.default_rng(5)
+    fresh = lambda n: np.unique(r.integers(0, 2**64, n, dtype=np.uint64))
+    for _ in range(3000):
+        n = int(r.choice([1, 2, 3, 4, 5, 6, 8, 9, 12, 20, 45, 100, 300]))
+        a = fresh(n)
+        drop = r.integers(0, n // 5 + 1)
+        add = r.integers(0, n // 4 + 1)
+        b = np.unique(np.concatenate([r.choice(a, n - drop, replace=False), fresh(add)]))
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= 80 * (len(a) + len(b) - both):
+            assert len(np.intersect1d(jaccard.part_tokens(a), jaccard.part_tokens(b))), (n, drop, add)
+
+
 def test_dual_traversal_finds_all_links():
     r = np.random.default_rng(3)
     base = r.integers(0, 2**63, 300, dtype=np.int64).view(np.uint64)
