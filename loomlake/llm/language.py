@@ -200,6 +200,19 @@ def identify(docs: DataFrame, model: CrossParser) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
 
 
+def labelled(docs: DataFrame, model: CrossParser) -> DataFrame:
+    """``docs`` with ``lang`` replaced by the prediction; no shuffle of the texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                langs, _, _ = shared.value.predict(part.column("text").to_pylist())
+                yield part.set_column(part.schema.get_field_index("lang"), "lang", pa.array(langs, pa.string()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
