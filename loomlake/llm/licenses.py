@@ -18,8 +18,6 @@ columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,12 +76,29 @@ def size_class(n: int) -> int:
     return max(s for s in sizes if s <= n)
 
 
-def window_keys(hashes: Column, width: int, band: int) -> Column:
-    """Min-hashes of the windows of one width under one hash function, told apart by both."""
-    last = F.greatest(F.size(hashes) - width, F.lit(0))
-    starts = F.concat(F.sequence(F.lit(0), last, F.lit(max(1, width // 4))), F.array(last))
-    own = F.transform(hashes, lambda h: F.xxhash64(h, F.lit(band)))
-    return bound(own, lambda o: F.transform(starts, lambda i: F.xxhash64(F.array_min(F.slice(o, i + 1, width)), F.lit(width), F.lit(band))))
+def window_starts(at: Column, n: Column, width: int) -> Column:
+    """Starts of the windows of one width that hold one of the places ``at``."""
+    step = max(1, width // 4)
+    last = F.greatest(n - width, F.lit(0))
+
+    def around(p: Column) -> Column:
+        first = (F.ceil(F.greatest(p - width + 1, F.lit(0)) / step) * step).cast("int")
+        end = F.least(p, last)
+        return F.when(first <= end, F.concat(F.sequence(first, end, F.lit(step)), F.array(last))).otherwise(F.array(last))
+
+    return F.array_distinct(F.flatten(F.transform(at, around)))
+
+
+def band_hits(hashes: Column, starts: dict[int, Column], band: int, keys: dict[int, list[int]]) -> Column:
+    """Template keys among the min-hashes of all windows under one hash function; a key is told apart by width and band."""
+
+    def key(own: Column, width: int):
+        return lambda i: F.xxhash64(F.array_min(F.slice(own, i + 1, width)), F.lit(width), F.lit(band))
+
+    def hits(own: Column) -> Column:
+        return F.flatten(F.array(*[F.array_intersect(F.transform(s, key(own, w)), longs(keys[w])) for w, s in starts.items()]))
+
+    return bound(F.transform(hashes, lambda h: F.xxhash64(h, F.lit(band))), hits)
 
 
 def prepared(spark: SparkSession, templates: dict[str, str]) -> list[dict]:
@@ -116,20 +131,20 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     for k, t in enumerate(known):
         for key in t["keys"]:
             by_key.setdefault(key, []).append(k)
-    folded = F.translate("text", UPPER, LOW)
-    anchored = reduce(lambda a, b: a | b, [F.contains(folded, F.lit(a)) for a in ANCHORS])
+    # one pattern, so that a text is read once
+    anchored = F.col("text").rlike("|".join("".join(f"[{c}{c.upper()}]" for c in a) for a in ANCHORS))
     d = docs.where(anchored).select("doc_id", words(F.col("text")).alias("words"))
-    d = d.select("doc_id", shingles(F.col("words")).alias("sh")).where(F.size("sh") > 0)
     widths = sorted({t["width"] for t in known})
-    met = []
-    for width in widths:
-        for band in range(BANDS):
-            own = longs(sorted({t["keys"][band] for t in known if t["width"] == width}))
-            met.append(F.array_intersect(window_keys(F.col("sh"), width, band), own))
+    every = longs(sorted({h for t in known for h in t["sh"]}))
+    d = d.select("doc_id", shingles(F.col("words")).alias("sh"))
+    # a band agrees on a shingle of the template, so only windows that hold a shingle of some template can agree
+    d = d.withColumn("at", F.filter(F.transform("sh", lambda h, i: F.when(F.array_contains(every, h), i)), lambda i: i.isNotNull()))
+    d = d.select("doc_id", "sh", *[window_starts(F.col("at"), F.size("sh"), w).alias(f"w{w}") for w in widths])
+    starts = {w: F.col(f"w{w}") for w in widths}
+    met = [band_hits(F.col("sh"), starts, k, {w: sorted({t["keys"][k] for t in known if t["width"] == w}) for w in widths}) for k in range(BANDS)]
     lookup = F.map_from_arrays(longs(list(by_key)), F.split(F.lit(";".join(",".join(map(str, v)) for v in by_key.values())), ";"))
-    d = d.withColumn("hits", F.flatten(F.array(*met))).where(F.size("hits") > 0)
-    found = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.split(F.element_at(lookup, h), ","))))
-    d = d.withColumn("k", F.explode(found)).withColumn("k", F.col("k").cast("int"))
+    found = F.array_distinct(F.flatten(F.transform(F.flatten(F.array(*met)), lambda h: F.split(F.element_at(lookup, h), ","))))
+    d = d.select("doc_id", "sh", F.explode(found).alias("k")).withColumn("k", F.col("k").cast("int"))
     sets = F.array(*[longs(t["sh"]) for t in known])
     names = F.split(F.lit("\x1f".join(t["name"] for t in known)), "\x1f")
     own = F.get(sets, F.col("k"))
