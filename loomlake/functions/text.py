@@ -7,12 +7,13 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: White space of sources beyond ASCII: fixed values.
 SPACES = "[\\s\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(values: pd.Series) -> pd.Series:
     """NFC with LF line ends; the JVM has no such function, and ASCII texts pass as they are."""
     return values.map(lambda t: t if t is None else unicodedata.normalize("NFC", t.replace("\r\n", "\n").replace("\r", "\n")))

@@ -11,6 +11,7 @@ from xml.etree import ElementTree
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def html_sections(pages: DataFrame, key: str, html: str) -> DataFrame:
@@ -24,10 +25,12 @@ def html_sections(pages: DataFrame, key: str, html: str) -> DataFrame:
 
 
 def xml_records(df: DataFrame, body: str, row: str, fields: list[str]) -> DataFrame:
-    """One row for each ``row`` element, its fields as text."""
-    count = F.size(F.xpath(F.col(body), F.lit(f"//{row}")))
-    d = df.withColumn("n", F.explode(F.when(count > 0, F.sequence(F.lit(1), count))))
-    return d.select(*[c for c in df.columns if c != body], "n", *[F.xpath_string(F.col(body), F.concat(F.lit(f"(//{row})["), F.col("n").cast("string"), F.lit(f"]/{f}"))).alias(f) for f in fields])
+    """One row for each ``row`` element, its fields as text, null where it lacks them."""
+    schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
+    found = F.regexp_extract_all(F.coalesce(body, F.lit("")), F.lit(rf"(?s)(<{row}(?:\s[^>]*)?>.*?</{row}>)"), F.lit(1))
+    d = df.select(*[c for c in df.columns if c != body], F.posexplode(found).alias("n", "_x"))
+    d = d.withColumn("_r", F.from_xml("_x", schema, {"rowTag": row}))
+    return d.select(*[c for c in df.columns if c != body], (F.col("n") + 1).alias("n"), *[F.col("_r")[f].alias(f) for f in fields])
 
 
 _SECTION = re.compile(r"Contents/section(\d+)\.xml$")
