@@ -8,8 +8,8 @@ as content or as something around it, by its path and by whether it is a repeate
 extracted by their host's wrapper: texts of content slots, in page order.
 
 Streams without texts are few, so they are made distinct (map-side) before any alignment, and those of one host are
-aligned in ``SALT`` parts first and the parts' wrappers after; no task sees all pages of a host. Wrappers join pages by host:
-the join leaves it to Spark's size limit whether to broadcast, and to its skew handling to split a hot host.
+aligned in ``SALT`` parts first and the parts' wrappers after; no task sees all pages of a host. Wrappers are joined to pages by
+a broadcast if they have ``BROADCAST_CHARS`` characters at most; beyond, by a shuffle in which Spark splits a hot host.
 
 Defined results: null html counts as empty; a page without content has an empty text; a null url is a host of its own;
 comments and raw elements that never end reach to the page's end; repeated rows get equal results; a page with an
@@ -28,10 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, table
+from .common import chunks, cut, table
 
 SALT = 32
 FOLD = 24  # longest repeated part, in tokens
+BROADCAST_CHARS = 16_000_000  # of all wrappers' slots
 
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rt s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,7 +51,7 @@ MAIN = frozenset(("article", "main"))
 _TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>")
 _ATTR = re.compile(r"([A-Za-z-]+)\s*+(?:=\s*+(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
-_SPACE = re.compile(r"[ \t\n\r\f\v\x85\xa0  -     　]+")
+_SPACE = re.compile(r"\s+")
 
 
 def label(tag: str, attributes: str) -> str:
@@ -314,7 +315,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) of every page, by its host's wrapper."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     own = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
-    wrappers = infer(own).select("host", "slots")
+    wrappers = cut(infer(own).select("host", "slots"))
+    size = wrappers.agg(F.sum(F.length("host") + F.length("slots"))).first()[0] or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, dict] = {}
@@ -329,7 +331,7 @@ def extract(pages: DataFrame) -> DataFrame:
                     texts.append(main_text(Page(source), seen[slots]))
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    joined = own.join(wrappers, "host", "left").select(F.col("page_id").cast("long").alias("page_id"), "url", "html", "slots")
+    joined = own.join(F.broadcast(wrappers) if size <= BROADCAST_CHARS else wrappers, "host", "left").select(F.col("page_id").cast("long").alias("page_id"), "url", "html", "slots")
     return joined.mapInArrow(run, "page_id long, url string, text string")
 
 
