@@ -411,7 +411,7 @@ def global_ratio(spark, sf_dir):
 
 @query("SELECT a.part_id AS part_id, b.event_id FROM (SELECT l_orderkey * 10 + l_linenumber AS part_id, l_suppkey AS k, (l_partkey % 500) AS s, (l_partkey % 500) + l_linenumber * 3 AS e FROM lineitem WHERE l_orderkey < 2000) a JOIN (SELECT event_id, user_id AS k, event_id % 500 AS s, event_id % 500 + 5 AS e FROM events) b ON a.k = b.k AND a.s < b.e AND b.s < a.e")
 def range_overlap_join(spark, sf_dir):
-    a = t(spark, sf_dir, "lineitem").where("l_orderkey < 2000").selectExpr("l_orderkey * 10 + l_linenumber AS part_id", "l_suppkey AS k", "l_partkey % 500 AS s", "l_partkey % 500 + l_linenumber * 3 AS e")
+    a = t(spark, sf_dir, "lineitem").selectExpr("l_orderkey * 10 + l_linenumber AS part_id", "l_suppkey AS k", "l_partkey % 500 AS s", "l_partkey % 500 + l_linenumber * 3 AS e")
     b = t(spark, sf_dir, "events").selectExpr("event_id", "user_id AS k", "event_id % 500 AS s", "event_id % 500 + 5 AS e")
     return rules.range_overlap(a, b, "k", "s", "e", 32).select(F.col("l.part_id").alias("part_id"), F.col("r.event_id").alias("event_id"))
 
@@ -567,7 +567,7 @@ def citation_validator(spark, sf_dir):
 @query("""WITH s AS (SELECT l_orderkey AS k, l_linenumber::BIGINT AS id, l_partkey % 100 AS a, l_partkey % 100 + 10 AS b FROM lineitem WHERE l_orderkey < 3000)
 SELECT k, id FROM (SELECT k, id, a, max(b) OVER (PARTITION BY k ORDER BY a, b, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS u FROM s) WHERE a < u""")
 def overlapping_passages(spark, sf_dir):
-    s = t(spark, sf_dir, "lineitem").where("l_orderkey < 3000").selectExpr("l_orderkey AS k", "CAST(l_linenumber AS bigint) AS id", "l_partkey % 100 AS a", "l_partkey % 100 + 10 AS b")
+    s = t(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS k", "CAST(l_linenumber AS bigint) AS id", "l_partkey % 100 AS a", "l_partkey % 100 + 10 AS b")
     return rules.overlapping_spans(s, "k", "id", "a", "b")
 
 

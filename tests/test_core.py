@@ -165,3 +165,28 @@ def test_ndjson_stream_resumes(spark, tmp_path):
 def test_latest_by_breaks_ties_by_id(spark):
     d = spark.createDataFrame([("k", 1, 5), ("k", 1, 7), (None, 2, 1)], "k string, at int, id int")
     assert {(r["k"], r["id"]) for r in ledger.latest_by(d, ["k"], ["at", "id"]).collect()} == {("k", 7), (None, 1)}
+
+
+@pytest.fixture
+def late_keys(tmp_path):
+    """lineitem and events with keys on both sides of 2000 and 3000."""
+    con = duckdb.connect()
+    con.execute(f"COPY (SELECT 1990 + (i // 4) * 17 AS l_orderkey, i % 4 + 1 AS l_linenumber, i % 7 AS l_suppkey, i * i * 7 % 1000 AS l_partkey FROM range(400) r(i)) TO '{tmp_path}/lineitem.parquet'")
+    con.execute(f"COPY (SELECT i AS event_id, i % 7 AS user_id FROM range(600) r(i)) TO '{tmp_path}/events.parquet'")
+    read = lambda n, *c: con.execute(f"SELECT {', '.join(c)} FROM '{tmp_path}/{n}.parquet'").fetchall()
+    return str(tmp_path), read("lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"), read("events", "event_id", "user_id")
+
+
+def test_range_overlap_join_has_all_orders(spark, late_keys):
+    sf_dir, items, events = late_keys
+    want = [(o * 10 + n, e) for o, n, k, p in items for e, u in events if u == k and p % 500 < e % 500 + 5 and e % 500 < p % 500 + n * 3]
+    assert any(part >= 20000 for part, _ in want)
+    assert rows(QUERIES["range_overlap_join"](spark, sf_dir).collect()) == rows(want)
+
+
+def test_overlapping_passages_has_all_orders(spark, late_keys):
+    sf_dir, items, _ = late_keys
+    spans = [(o, n, p % 100, p % 100 + 10) for o, n, _, p in items]
+    want = [(o, n) for o, n, a, b in spans if any(x == o and (c, d, m) < (a, b, n) and a < d for x, m, c, d in spans)]
+    assert any(o >= 3000 for o, _ in want)
+    assert rows(QUERIES["overlapping_passages"](spark, sf_dir).collect()) == rows(want)
