@@ -55,7 +55,12 @@ def words(text: Column) -> Column:
 
 
 def char_ngrams(word: Column, n: int) -> Column:
-    return F.when(F.length(word) >= n, F.transform(F.sequence(F.lit(1), F.length(word) - n + 1), lambda i: F.substring(word, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    """Joined from the letters, as a substring of a UTF-8 text is found from its start (quadratic for long texts)."""
+    letters = F.split(F.coalesce(word, F.lit("")), "")
+    grams = letters
+    for i in range(2, n + 1):
+        grams = F.zip_with(grams, F.slice(letters, F.lit(i), F.size(letters)), lambda a, b: F.concat(a, b))
+    return F.filter(grams, lambda g: F.length(g) == n)
 
 
 def letter_stats(text: Column) -> Column:

@@ -12,19 +12,22 @@ def containment_join(texts: DataFrame, terms: DataFrame, text_id: str, text: str
     """(text_id, term_id): every term that occurs in a text.
 
     A theta join rewritten as an equi join: a term is looked up by its rarest character n-gram only, and verified. Terms shorter
-    than n are looked up by themselves among the texts' shorter grams.
+    than n are looked up by themselves among the texts' shorter grams. A text meets all its candidates in one row.
     """
     t = terms.where(F.length(term) > 0).select(F.col(term_id).alias("_t"), F.col(term).alias("_term"))
     sizes = [r[0] for r in t.select(F.least(F.length("_term"), F.lit(gram))).distinct().collect()]
-    d = texts.select(F.col(text_id).alias("_d"), F.col(text).alias("_text"))
+    d = texts.select(F.col(text_id).alias("_d"), F.col(text).alias("_text")).where("_d IS NOT NULL")
     grams = F.array_distinct(F.flatten(F.array(*[char_ngrams(F.col("_text"), n) for n in sorted(sizes)] or [F.array().cast("array<string>")])))
     cells = d.select("_d", F.explode(grams).alias("gram"))
     own = t.select("_t", "_term", F.explode(F.array_distinct(char_ngrams(F.col("_term"), gram))).alias("gram")).unionByName(t.where(F.length("_term") < gram).select("_t", "_term", F.col("_term").alias("gram")))
     wanted = cells.join(own.select("gram").distinct(), "gram", "left_semi")
     df = wanted.groupBy("gram").agg(F.count("*").alias("df"))
     rarest = own.join(df, "gram").groupBy("_t", "_term").agg(F.min_by("gram", F.struct("df", "gram")).alias("gram"))
-    pairs = wanted.join(rarest, "gram").join(d, "_d").where(F.contains("_text", F.col("_term")))
-    return pairs.select(F.col("_d").alias(text_id), F.col("_t").alias(term_id)).distinct()
+    found = wanted.join(rarest, "gram")
+    whole = found.where(F.col("_term") == F.col("gram")).select("_d", "_t")
+    longer = found.where(F.col("_term") != F.col("gram")).groupBy("_d").agg(F.collect_list(F.struct("_t", "_term")).alias("_c")).join(d, "_d")
+    longer = longer.select("_d", F.explode(F.filter("_c", lambda c: F.contains(F.col("_text"), c["_term"]))["_t"]).alias("_t"))
+    return whole.unionByName(longer).select(F.col("_d").alias(text_id), F.col("_t").alias(term_id)).distinct()
 
 
 def query_terms(queries: DataFrame, query_id: str, text: str, grams: dict[int, float], cap: int, stop: tuple[str, ...] = ()) -> DataFrame:

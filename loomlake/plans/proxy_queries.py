@@ -489,11 +489,14 @@ h AS (SELECT DISTINCT term, doc_id FROM (SELECT doc_id, unnest({_WORDS.format('t
 s AS (SELECT item_id, doc_id, CAST(round(CAST(sum(ln(1 + (SELECT count(*) FROM documents) / df::DOUBLE)) AS DECIMAL(28,9)), 3) AS DOUBLE) AS score FROM t JOIN h USING (term) JOIN df USING (term) GROUP BY 1, 2)
 SELECT item_id, doc_id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s) WHERE rank <= 5""")
 def ngram_idf_topk(spark, sf_dir):
-    d, b = t(spark, sf_dir, "documents", "doc_id", "text"), t(spark, sf_dir, "benchmark")
-    terms = retrieval.query_terms(b, "item_id", "text", {}, cap=10**6).where("length(term) >= 6")
-    r = F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc(F.length("term")), "term"))
-    terms = terms.withColumn("r", r).where("r <= 20").drop("r")
-    hits = d.select("doc_id", F.explode(F.array_distinct(text.words(F.col("text")))).alias("term")).join(terms.select("term").distinct(), "term", "left_semi").withColumn("location", F.lit(1.0))
+    # a document's first line stands for the catalogue's name, its source for the occupation, the rest for the definition
+    d, b = t(spark, sf_dir, "documents", "doc_id", "text", "source"), t(spark, sf_dir, "benchmark")
+    terms = retrieval.query_terms(b, "item_id", "text", {3: 0.65, 2: 0.35}, cap=480)
+    low = lambda c: F.lower(F.coalesce(c, F.lit("")))
+    fields = d.select("doc_id", low(F.col("text")).alias("text"), low(F.split_part("text", F.lit("\n"), F.lit(1))).alias("name"), low(F.col("source")).alias("source"))
+    found = retrieval.containment_join(fields.select("doc_id", F.concat_ws(" ", "text", "source").alias("text")), terms.select("term").distinct(), "doc_id", "text", "term", "term")
+    location = F.when(F.contains("name", F.col("term")), 8.0).when(F.contains("source", F.col("term")), 4.0).otherwise(1.0)
+    hits = found.join(fields.drop("text"), "doc_id").select("doc_id", "term", location.alias("location"))
     return retrieval.idf_top_k(hits, terms, d.count(), "item_id", "doc_id", 5)
 
 

@@ -190,3 +190,49 @@ def test_overlapping_passages_has_all_orders(spark, late_keys):
     want = [(o, n) for o, n, a, b in spans if any(x == o and (c, d, m) < (a, b, n) and a < d for x, m, c, d in spans)]
     assert any(o >= 3000 for o, _ in want)
     assert rows(QUERIES["overlapping_passages"](spark, sf_dir).collect()) == rows(want)
+
+
+@pytest.fixture
+def small_corpus(tmp_path):
+    """documents and benchmark with short words, words inside longer ones and items of more than 20 words."""
+    long = " ".join(f"{a}{b}{c}" for a in "qrst" for b in "aeiou" for c in ("b", "lmn", "xyzuvw"))
+    docs = [(1, "Manager\nplans the data", "web"), (2, "other\nmismanagement, of 数据库 things", "book"), (3, "ta\nxx da yy", None), (4, None, "data"), (5, "", "web"), (6, long.upper() + "\nend", "web"), (7, "zz\nqaxyzuvwq selmno", "x"), (8, "é" * 300 + "manage", "x")]
+    items = [(1, "manage data"), (2, long), (3, "a of\n数据库管理"), (4, " ".join(["word"] * 120) + " plans")]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", docs)
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    for n in ("documents", "benchmark"):
+        con.execute(f"COPY {n} TO '{tmp_path}/{n}.parquet'")
+    return str(tmp_path), docs, items
+
+
+def test_ngram_idf_topk_scores_grams_by_location(spark, small_corpus):
+    import math
+    import re
+
+    sf_dir, docs, items = small_corpus
+    terms = {}
+    for item, body in items:
+        own = {}
+        for w in re.split(r"[\W_]+", body.lower()):
+            if 2 <= len(w) <= 40:
+                own[w] = 1.0
+                for n, weight in ((3, 0.65), (2, 0.35)):
+                    for i in range(len(w) - n + 1 if len(w) > n else 0):
+                        own[w[i : i + n]] = max(own.get(w[i : i + n], 0), weight)
+        terms[item] = dict(sorted(own.items(), key=lambda x: (-x[1], -len(x[0]), x[0]))[:480])
+    fields = {i: ((b or "").lower().split("\n")[0], (s or "").lower(), (b or "").lower() + " " + (s or "").lower()) for i, b, s in docs}
+    df = {x: sum(x in f[2] for f in fields.values()) for own in terms.values() for x in own}
+    want = []
+    for item, own in terms.items():
+        scores = {i: round(sum(w * (8 if x in f[0] else 4 if x in f[1] else 1) * math.log(1 + len(docs) / df[x]) for x, w in own.items() if x in f[2]), 3) for i, f in fields.items() if any(x in f[2] for x in own)}
+        want += [(item, i, s, r) for r, (i, s) in enumerate(sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:5], 1)]
+    assert (1, 3) in {x[:2] for x in want} and max(map(len, terms.values())) > 20
+    assert rows(QUERIES["ngram_idf_topk"](spark, sf_dir).select("item_id", "doc_id", "score", "rank").collect()) == rows(want)
+
+
+def test_char_ngrams_of_any_script(spark):
+    d = spark.createDataFrame([("é数𝒳b",), ("ab",), ("",), (None,)], "w string")
+    assert [tuple(r) for r in d.select(text.char_ngrams(F.col("w"), 1), text.char_ngrams(F.col("w"), 3)).collect()] == [(list("é数𝒳b"), ["é数𝒳", "数𝒳b"]), (["a", "b"], []), ([], []), ([], [])]
