@@ -236,3 +236,14 @@ def test_ngram_idf_topk_scores_grams_by_location(spark, small_corpus):
 def test_char_ngrams_of_any_script(spark):
     d = spark.createDataFrame([("é数𝒳b",), ("ab",), ("",), (None,)], "w string")
     assert [tuple(r) for r in d.select(text.char_ngrams(F.col("w"), 1), text.char_ngrams(F.col("w"), 3)).collect()] == [(list("é数𝒳b"), ["é数𝒳", "数𝒳b"]), (["a", "b"], []), ([], []), ([], [])]
+
+
+def test_taxonomy_prefix_tree_has_all_parts(spark, tmp_path):
+    duckdb.sql(f"COPY (SELECT i AS p_partkey FROM range(1000) r(i)) TO '{tmp_path}/part.parquet'")
+    want = []
+    for node in range(1, 1000):
+        up, steps = node, 0
+        while up > 0:
+            up, steps = up // 3, steps + 1
+            want.append((node, up, steps))
+    assert rows(QUERIES["taxonomy_prefix_tree"](spark, str(tmp_path)).select("node", "ancestor", "steps").collect()) == rows(want)
