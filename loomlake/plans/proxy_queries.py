@@ -462,13 +462,16 @@ _TERMS = "SELECT DISTINCT item_id * 100 + i AS term_id, split_part(text, ' ', i)
 
 
 def _terms(spark, sf_dir):
-    b = t(spark, sf_dir, "benchmark").select("item_id", F.explode(F.sequence(F.lit(2), F.lit(4))).alias("i"), "text")
-    return b.select((F.col("item_id") * 100 + F.col("i")).alias("term_id"), F.split_part("text", F.lit(" "), F.col("i")).alias("term")).where(F.length("term").between(5, 40))
+    """Every distinct word of every text; the id is of the item and the word's place among its distinct words."""
+    b = t(spark, sf_dir, "benchmark").select("item_id", F.posexplode(F.array_distinct(F.split("text", "\\s+"))).alias("i", "term"))
+    return b.where("term <> ''").select((F.col("item_id") * 1_000_000 + F.col("i")).alias("term_id"), "term")
 
 
 @query(f"WITH t AS ({_TERMS}) SELECT doc_id, term_id FROM documents, t WHERE contains(text, term)")
 def containment_join(spark, sf_dir):
-    return retrieval.containment_join(t(spark, sf_dir, "documents", "doc_id", "text"), _terms(spark, sf_dir), "doc_id", "text", "term_id", "term", gram=4)
+    terms = _terms(spark, sf_dir)
+    found = retrieval.containment_join(t(spark, sf_dir, "documents", "doc_id", "text"), terms.select("term").distinct(), "doc_id", "text", "term", "term", gram=4)
+    return found.join(terms, "term").select("doc_id", "term_id")
 
 
 _WORDS = "list_filter(string_split_regex(lower({}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')"

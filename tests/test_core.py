@@ -247,3 +247,10 @@ def test_taxonomy_prefix_tree_has_all_parts(spark, tmp_path):
             up, steps = up // 3, steps + 1
             want.append((node, up, steps))
     assert rows(QUERIES["taxonomy_prefix_tree"](spark, str(tmp_path)).select("node", "ancestor", "steps").collect()) == rows(want)
+
+
+def test_containment_join_has_every_word(spark, small_corpus):
+    sf_dir, docs, items = small_corpus
+    want = [(i, item * 1_000_000 + n) for item, body in items for n, w in enumerate(dict.fromkeys(body.split())) for i, b, _ in docs if b and w in b]
+    assert (1, 3_000_000) in want and (1, 4_000_001) in want
+    assert rows(QUERIES["containment_join"](spark, sf_dir).collect()) == rows(want)
