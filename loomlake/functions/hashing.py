@@ -37,9 +37,9 @@ def plain_set_hash(member: Column) -> Column:
     return F.sha2(F.array_join(F.array_sort(F.collect_set(member.cast("string"))), "\n"), 256)
 
 
-def hash_chain(df: DataFrame, key: str, order: str, value: str, depth: int) -> DataFrame:
-    """``chain``: sha256 over the last link and the row, for keys of at most ``depth`` rows (a file's chunks)."""
+def hash_chain(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
+    """``chain``: sha256 over the last link and the row; a key's values up to a row meet in it (a file's chunks)."""
     w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     upto = F.collect_list(F.col(value).cast("string")).over(w)
-    fold = F.aggregate(F.slice("_upto", 1, depth), F.lit(""), lambda acc, x: F.sha2(F.concat(acc, F.lit("|"), x), 256))
+    fold = F.aggregate("_upto", F.lit(""), lambda acc, x: F.sha2(F.concat(acc, F.lit("|"), x), 256))
     return df.withColumn("_upto", upto).withColumn("chain", fold).drop("_upto")

@@ -37,11 +37,11 @@ def collapse(edges_: DataFrame, binding: DataFrame, dropped: tuple[str, ...] = (
     return e.where("subject_id <> object_id").select("subject_id", "predicate", "object_id").distinct()
 
 
-def flat_properties(df: DataFrame, key: str, json_column: str, depth: int = 4) -> DataFrame:
+def flat_properties(df: DataFrame, key: str, json_column: str) -> DataFrame:
     """(key, path, value): leaves of nested JSON objects, names joined by dots (a dot in a name is ``\\.``)."""
     level = df.select(key, F.lit("").alias("path"), F.col(json_column).alias("v"))
     leaves = []
-    for _ in range(depth):
+    while not leaves or not level.isEmpty():
         inner = level.select(key, "path", F.explode(F.from_json("v", "map<string,string>")).alias("k", "v"))
         inner = inner.withColumn("path", F.concat("path", F.when(F.col("path") != "", ".").otherwise(""), F.replace("k", F.lit("."), F.lit("\\.")))).drop("k")
         nested = F.coalesce(F.trim("v").startswith("{"), F.lit(False))
@@ -58,14 +58,19 @@ def typed_properties(flat: DataFrame, key: str) -> DataFrame:
     )
 
 
-def ancestors(links: DataFrame, child: str, parent: str, depth: int = 16) -> DataFrame:
-    """(node, ancestor, steps) of a forest by path doubling: log2(depth) joins; longer paths are cut at ``depth``."""
+def _kept(df: DataFrame) -> DataFrame:
+    """Computed once, without lineage; in the shared folder if there is one."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
+
+
+def ancestors(links: DataFrame, child: str, parent: str) -> DataFrame:
+    """(node, ancestor, steps) by path doubling, until a round adds no pair; the nodes of a cycle are their own ancestors."""
     a = links.select(F.col(child).alias("node"), F.col(parent).alias("ancestor"), F.lit(1).alias("steps"))
-    done = 1
-    while done < depth:
+    a, n, before = _kept(a), -1, -2
+    while n != before:
         b = a.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("_up"), F.col("steps").alias("_s"))
-        a = a.unionByName(a.join(b, "ancestor").select("node", F.col("_up").alias("ancestor"), (F.col("steps") + F.col("_s")).alias("steps"))).groupBy("node", "ancestor").agg(F.min("steps").alias("steps"))
-        done *= 2
+        a = _kept(a.unionByName(a.join(b, "ancestor").select("node", F.col("_up").alias("ancestor"), (F.col("steps") + F.col("_s")).alias("steps"))).groupBy("node", "ancestor").agg(F.min("steps").alias("steps")))
+        before, n = n, a.count()
     return a
 
 

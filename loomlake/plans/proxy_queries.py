@@ -129,7 +129,7 @@ c AS (SELECT n_regionkey, k, n_nationkey, sha256('|' || n_name) AS chain FROM n
 UNION ALL SELECT n.n_regionkey, n.k, n.n_nationkey, sha256(c.chain || '|' || n.n_name) FROM c JOIN n ON n.n_regionkey = c.n_regionkey AND n.k = c.k + 1)
 SELECT n_nationkey::BIGINT AS n_nationkey, chain FROM c""")
 def chunk_hash_chain(spark, sf_dir):
-    return hashing.hash_chain(t(spark, sf_dir, "nation"), "n_regionkey", "n_nationkey", "n_name", 100).select(F.col("n_nationkey").cast("long").alias("n_nationkey"), "chain")
+    return hashing.hash_chain(t(spark, sf_dir, "nation"), "n_regionkey", "n_nationkey", "n_name").select(F.col("n_nationkey").cast("long").alias("n_nationkey"), "chain")
 
 
 # --- assembly ---

@@ -254,3 +254,17 @@ def test_containment_join_has_every_word(spark, small_corpus):
     want = [(i, item * 1_000_000 + n) for item, body in items for n, w in enumerate(dict.fromkeys(body.split())) for i, b, _ in docs if b and w in b]
     assert (1, 3_000_000) in want and (1, 4_000_001) in want
     assert rows(QUERIES["containment_join"](spark, sf_dir).collect()) == rows(want)
+
+
+def test_taxonomies_json_and_chains_have_no_depth_bound(spark):
+    ring = [(i, i % 20 + 1) for i in range(1, 21)] + [(i, i - 1) for i in range(102, 141)]
+    links = spark.createDataFrame(ring, "child long, parent long")
+    got = {(r["node"], r["ancestor"]): r["steps"] for r in graph.ancestors(links, "child", "parent").collect()}
+    assert got == {(i, j): (j - i - 1) % 20 + 1 for i in range(1, 21) for j in range(1, 21)} | {(i, j): i - j for i in range(102, 141) for j in range(101, i)}
+    items = spark.createDataFrame([(i, 2) for i in range(1, 21)], "code long, level int")
+    assert {r["code"] for r in graph.taxonomy_issues(items, links).where("issue = 'CYCLE'").collect()} == set(range(1, 21))
+    d = spark.createDataFrame([(1, '{"a":{"b":{"c":{"d":{"e":{"f":7}}}}},"x":1}'), (2, "{}"), (3, None)], "id int, j string")
+    assert {tuple(r) for r in graph.flat_properties(d, "id", "j").collect()} == {(1, "x", "1"), (1, "a.b.c.d.e.f", "7")}
+    assert graph.flat_properties(d.where("id > 1"), "id", "j").count() == 0
+    chain = hashing.hash_chain(spark.range(150).selectExpr("0 AS k", "id", "CAST(id AS string) AS v"), "k", "id", "v")
+    assert chain.select("chain").distinct().count() == 150
