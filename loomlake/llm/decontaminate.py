@@ -1,29 +1,32 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
 The index is partitioned by document: a shard holds some whole documents, and for every term of theirs (64-bit hash of
-the lower-cased word) the sorted list of positions where it stands. It is written to the shared folder. A query phrase
-is looked up in each shard: its terms are ordered by their number of postings in the whole corpus, the rarest term's
-list gives possible starts, and the list of each next term, shifted by its offset, is intersected with them. What is left
-are exact phrase matches. Proximity search keeps the postings of the rarest term that have all other terms within a
-distance.
+the lower-cased word) the sorted list of positions where it stands. It is written to the shared folder in small rows and
+small row groups, so that readers hold a few shards at a time. A query phrase is looked up in each shard: its terms are
+ordered by their number of postings in the whole corpus, the rarest term's list gives possible starts, and the list of each
+next term, shifted by its offset, is intersected with them. What is left are exact phrase matches. Proximity search keeps
+the postings of the rarest term that have all other terms within a distance.
 
 Only phrases are broadcast, in blocks of at most ``BLOCK_PHRASES``; every block is run against all shards. Statistics
 over the corpus are summed for the terms of the block only. No shuffle carries postings, so neither frequent words nor
 groups of copies make a hot task.
 
+A document is known by its place, (shard, ordinal), and never by its id, so null, repeated and very large ids are safe, and the
+number of blocks doesn't change the result.
+
 Defined results: words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z; null text has no words; a
-benchmark item of fewer words than the window is one window, an item without words none; repeated items each count; equal
-terms inside a phrase are intersected at their own offsets; an empty table on either side gives no hits; a document has one
-row for each of its rows in the input; other columns are ignored.
+benchmark item of fewer words than the window is one window, an item without words none; repeated items each count; a null
+item_id is the empty string; equal terms inside a phrase are intersected at their own offsets; an empty table on either side gives
+no hits; a document has one row for each of its rows in the input, with its own id, null too; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,9 +34,11 @@ from .common import ALNUM, LOWER, chunks, stored, table, text_bytes, word_hashes
 
 WINDOW = 10
 BLOCK_PHRASES = 200_000
-SHARD_BYTES = 1_000_000
-INDEX_SCHEMA = "doc_ids binary, doc_starts binary, terms binary, counts binary, positions binary"
-HIT_SCHEMA = "doc_id long, n_words long, n_hit long, items array<string>, partial boolean"
+SHARD_BYTES = 250_000
+#: Readers hold a row group at least; writers too.
+SMALL_GROUPS = {"parquet.block.row.count.limit": "8", "parquet.enable.dictionary": "false"}
+INDEX_SCHEMA = "shard long, doc_ids array<long>, doc_starts binary, terms binary, counts binary, positions binary"
+FOUND = "shard long, ordinal int, doc_id long, n_words long, n_hit long, items array<string>, starts array<long>, stops array<long>"
 
 
 def lower_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -48,29 +53,40 @@ def positional_index(docs: DataFrame) -> DataFrame:
     """One row per shard: documents, first position of each, terms, postings per term, positions by term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in chunks(batch, "text", SHARD_BYTES):
                 words, rows = lower_words(part.column("text"))
                 order = np.argsort(words, kind="stable")
                 terms, counts = np.unique(words[order], return_counts=True)
-                ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype("<i8")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x.tobytes()], pa.binary()) for x in (ids, rows.astype("<i4"), terms, counts.astype("<i4"), order.astype("<i4"))],
-                    ["doc_ids", "doc_starts", "terms", "counts", "positions"],
+                    [
+                        pa.array([shard], pa.int64()),
+                        pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part.column("doc_id")),
+                        *(pa.array([x.tobytes()], pa.binary()) for x in (rows.astype("<i4"), terms, counts.astype("<i4"), order.astype("<i4"))),
+                    ],
+                    ["shard", "doc_ids", "doc_starts", "terms", "counts", "positions"],
                 )
+                shard += 1
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, INDEX_SCHEMA)
 
 
+def bytes_of(column: pa.Array, k: int, kind: str) -> np.ndarray:
+    """A binary value as numbers, without a copy."""
+    return np.frombuffer(column[k].as_buffer(), kind)
+
+
 class Shard:
     """One row of the index."""
 
-    def __init__(self, row: dict):
-        self.doc_ids = np.frombuffer(row["doc_ids"], "<i8")
-        self.doc_starts = np.frombuffer(row["doc_starts"], "<i4")
-        self.terms = np.frombuffer(row["terms"], "<u8")
-        self.ends = np.cumsum(np.frombuffer(row["counts"], "<i4").astype(np.int64))
-        self.positions = np.frombuffer(row["positions"], "<i4")
+    def __init__(self, batch: pa.RecordBatch, k: int):
+        self.shard = batch.column("shard")[k].as_py()
+        self.doc_ids: pa.Array = batch.column("doc_ids")[k].values
+        self.doc_starts = bytes_of(batch.column("doc_starts"), k, "<i4")
+        self.terms = bytes_of(batch.column("terms"), k, "<u8")
+        self.ends = np.cumsum(bytes_of(batch.column("counts"), k, "<i4").astype(np.int64))
+        self.positions = bytes_of(batch.column("positions"), k, "<i4")
 
     def slots(self, terms: np.ndarray) -> np.ndarray:
         """Place of each term in the shard's dictionary, -1 where it has none."""
@@ -136,8 +152,8 @@ def term_statistics(index: DataFrame, terms: np.ndarray) -> dict[int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(shared.value), np.int64)
         for batch in batches:
-            for t, c in zip(batch.column("terms"), batch.column("counts"), strict=True):
-                own, count = np.frombuffer(t.as_py(), "<u8"), np.frombuffer(c.as_py(), "<i4")
+            for k in range(batch.num_rows):
+                own, count = bytes_of(batch.column("terms"), k, "<u8"), bytes_of(batch.column("counts"), k, "<i4")
                 at = np.minimum(np.searchsorted(shared.value, own), len(shared.value) - 1)
                 hit = shared.value[at] == own
                 total[at[hit]] += count[hit]  # a shard names each term once
@@ -160,6 +176,7 @@ class PhraseBlock:
         self.terms = np.unique(np.concatenate(self.phrases)) if self.phrases else np.zeros(0, np.uint64)
         self.places = [np.searchsorted(self.terms, p) for p in self.phrases]
         self.by_rarity: list[np.ndarray] = []
+        self.groups: list[tuple[int, np.ndarray, np.ndarray]] = []
 
     def order(self, statistics: dict[int, int]) -> None:
         n = np.array([statistics.get(k, 0) for k in range(len(self.terms))], np.int64)
@@ -167,40 +184,62 @@ class PhraseBlock:
         # phrases that hold a term with no posting anywhere match nothing
         live = [i for i, p in enumerate(self.places) if n[p].min() > 0]
         self.items, self.places, self.by_rarity = ([x[i] for i in live] for x in (self.items, self.places, self.by_rarity))
-        # groups of equally long phrases, so that shards test them together
-        self.groups = [(size, np.array([i for i, p in enumerate(self.places) if len(p) == size])) for size in sorted({len(p) for p in self.places})]
+        # groups of equally long phrases, the terms of each from the rarest on, so that shards test them together
+        for size in sorted({len(p) for p in self.places}):
+            group = np.array([i for i, p in enumerate(self.places) if len(p) == size])
+            self.groups.append((size, group, np.stack([self.places[i][self.by_rarity[i]] for i in group])))
+
+    def present(self, slots: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(size, phrase) of the phrases all of whose terms a shard has."""
+        for size, group, terms in self.groups:
+            left = np.arange(len(group))
+            for k in range(size):
+                left = left[slots[terms[left, k]] >= 0]
+            for i in group[left].tolist():
+                yield size, i
 
 
 def search(index: DataFrame, block: PhraseBlock) -> DataFrame:
-    """(doc_id, n_words, n_hit, items): exact phrase matches of a block's phrases in every document."""
+    """Every document with its exact phrase matches of a block: hit words, items, and the hit intervals of words."""
     shared = index.sparkSession.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = shared.value
         for batch in batches:
-            for row in batch.to_pylist():
-                shard = Shard(row)
+            for k in range(batch.num_rows):
+                shard = Shard(batch, k)
                 slots = shard.slots(b.terms)
                 n = len(shard.doc_ids)
-                hit = np.zeros(len(shard.positions) + 1, np.int64)
-                items: list[set] = [set() for _ in range(n)]
-                for size, group in b.groups:
-                    own = slots[np.array([b.places[i] for i in group])]
-                    for i in group[(own >= 0).all(axis=1)]:
-                        starts = shard.phrase(slots[b.places[i]], b.by_rarity[i])
-                        if len(starts):
-                            np.add.at(hit, starts, 1)
-                            np.add.at(hit, starts + size, -1)
-                            for d in np.unique(shard.doc_of(starts)):
-                                items[d].update(b.items[i])
-                covered = np.concatenate([[0], np.cumsum(np.cumsum(hit[:-1]) > 0)])
-                n_hit = covered[shard.doc_starts[1:]] - covered[shard.doc_starts[:-1]]
+                hit = np.zeros(len(shard.positions) + 1, np.int32)
+                items: dict[int, set] = {}
+                for size, i in b.present(slots):
+                    starts = shard.phrase(slots[b.places[i]], b.by_rarity[i])
+                    if len(starts):
+                        np.add.at(hit, starts, 1)
+                        np.add.at(hit, starts + size, -1)
+                        for d in np.unique(shard.doc_of(starts)).tolist():
+                            items.setdefault(d, set()).update(b.items[i])
+                on = np.cumsum(hit[:-1]) > 0
+                covered = np.concatenate([[0], np.cumsum(on)])
+                first = shard.doc_starts.astype(np.int64)
+                spans: dict[int, tuple[list, list]] = {}
+                for d in items:
+                    edge = np.diff(on[first[d] : first[d + 1]].astype(np.int8), prepend=0, append=0)
+                    spans[d] = np.flatnonzero(edge > 0).tolist(), np.flatnonzero(edge < 0).tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard.doc_ids), pa.array(np.diff(shard.doc_starts).astype(np.int64)), pa.array(n_hit.astype(np.int64)), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
-                    ["doc_id", "n_words", "n_hit", "items"],
+                    [
+                        pa.array(np.full(n, shard.shard, np.int64)),
+                        pa.array(np.arange(n, dtype=np.int32)),
+                        shard.doc_ids,
+                        pa.array(np.diff(first)),
+                        pa.array(np.diff(covered[first]).astype(np.int64)),
+                        pa.array([sorted(items.get(d, ())) for d in range(n)], pa.list_(pa.string())),
+                        *(pa.array([spans[d][side] if d in spans else [] for d in range(n)], pa.list_(pa.int64())) for side in (0, 1)),
+                    ],
+                    ["shard", "ordinal", "doc_id", "n_words", "n_hit", "items", "starts", "stops"],
                 )
 
-    return index.mapInArrow(run, "doc_id long, n_words long, n_hit long, items array<string>")
+    return index.mapInArrow(run, FOUND)
 
 
 def proximity(index: DataFrame, words: list[str], distance: int) -> DataFrame:
@@ -212,14 +251,13 @@ def proximity(index: DataFrame, words: list[str], distance: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = shared.value
         for batch in batches:
-            for row in batch.to_pylist():
-                shard = Shard(row)
+            for k in range(batch.num_rows):
+                shard = Shard(batch, k)
                 slots = shard.slots(b.terms)
-                for i, p in enumerate(b.places):
-                    if (slots[p] >= 0).all():
-                        at = shard.near(slots[p], b.by_rarity[i], distance)
-                        doc = shard.doc_of(at)
-                        yield pa.RecordBatch.from_arrays([pa.array(shard.doc_ids[doc]), pa.array((at - shard.doc_starts[doc]).astype(np.int64))], ["doc_id", "position"])
+                for _, i in b.present(slots):
+                    at = shard.near(slots[b.places[i]], b.by_rarity[i], distance)
+                    doc = shard.doc_of(at)
+                    yield pa.RecordBatch.from_arrays([shard.doc_ids.take(pa.array(doc)), pa.array((at - shard.doc_starts[doc]).astype(np.int64))], ["doc_id", "position"])
 
     return index.mapInArrow(run, "doc_id long, position long")
 
@@ -227,64 +265,40 @@ def proximity(index: DataFrame, words: list[str], distance: int) -> DataFrame:
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_phrases: int = BLOCK_PHRASES) -> DataFrame:
     """(doc_id, n_words, n_hit, items) of every document, for all benchmark items.
 
-    With more phrases than a block holds, phrases are dealt to blocks by a hash; counts of hit words then come from
-    the union of blocks over hit intervals, so they stay exact.
+    With more phrases than a block holds, phrases are dealt to blocks by a hash, and each block gives one row for each
+    document that it hits; hit words are then counted over the union of the blocks' intervals, so they stay exact.
     """
-    spark = docs.sparkSession
-    index = stored(positional_index(docs), "positional-index")
+    index = stored(positional_index(docs), "positional-index", **SMALL_GROUPS)
     phrases = stored(phrases_of(benchmark, window), "phrases")
     n = phrases.count()
     if n <= block_phrases:
-        block = PhraseBlock(phrases.collect())
-        block.order(term_statistics(index, block.terms) if len(block.terms) else {})
-        return search(index, block)
+        return search(index, loaded(index, phrases)).select("doc_id", "n_words", "n_hit", "items")
     parts = -(-n * 5 // (block_phrases * 4))
     hits = None
     for k in range(parts):
-        block = PhraseBlock(phrases.where(F.pmod(F.xxhash64("terms"), F.lit(parts)) == k).collect())
-        block.order(term_statistics(index, block.terms) if len(block.terms) else {})
-        found = stored(search_spans(index, block), "phrase-hits")
+        block = loaded(index, phrases.where(F.pmod(F.xxhash64("terms"), F.lit(parts)) == k))
+        found = stored(search(index, block).where("n_hit > 0").drop("doc_id", "n_words", "n_hit"), "phrase-hits")
         hits = found if hits is None else hits.unionByName(found)
-    return merge_spans(index, hits, spark)
+    return merged(search(index, PhraseBlock([])), hits)
 
 
-def search_spans(index: DataFrame, block: PhraseBlock) -> DataFrame:
-    """(shard key, doc, item_id, start, stop) of all matches of a block; start and stop are words of the document."""
-    shared = index.sparkSession.sparkContext.broadcast(block)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        b = shared.value
-        for batch in batches:
-            for row in batch.to_pylist():
-                shard = Shard(row)
-                slots = shard.slots(b.terms)
-                for i, p in enumerate(b.places):
-                    if not (slots[p] >= 0).all():
-                        continue
-                    starts = shard.phrase(slots[p], b.by_rarity[i])
-                    if len(starts):
-                        doc = shard.doc_of(starts)
-                        local = (starts - shard.doc_starts[doc]).astype(np.int64)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(shard.doc_ids[doc]), pa.array([b.items[i]] * len(doc), pa.list_(pa.string())), pa.array(local), pa.array(local + len(p))], ["doc_id", "items", "start", "stop"]
-                        )
-
-    return index.mapInArrow(run, "doc_id long, items array<string>, start long, stop long")
+def loaded(index: DataFrame, phrases: DataFrame) -> PhraseBlock:
+    """A block of phrases, their terms ordered by the corpus."""
+    block = PhraseBlock(phrases.collect())
+    block.order(term_statistics(index, block.terms) if len(block.terms) else {})
+    return block
 
 
-def merge_spans(index: DataFrame, hits: DataFrame, spark: SparkSession) -> DataFrame:
-    def docs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids, starts = np.frombuffer(row["doc_ids"], "<i8"), np.frombuffer(row["doc_starts"], "<i4")
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.diff(starts).astype(np.int64))], ["doc_id", "n_words"])
-
-    sizes = index.select("doc_ids", "doc_starts").mapInArrow(docs_of, "doc_id long, n_words long")
-    positions = hits.select("doc_id", F.explode(F.sequence(F.col("start"), F.col("stop") - 1)).alias("at")).distinct().groupBy("doc_id").agg(F.count("*").alias("n_hit"))
-    items = hits.select("doc_id", F.explode("items").alias("item")).distinct().groupBy("doc_id").agg(F.array_sort(F.collect_list("item")).alias("items"))
+def merged(every: DataFrame, hits: DataFrame) -> DataFrame:
+    """All documents with the blocks' hits; a document has a row for each block at most."""
+    key = ["shard", "ordinal"]
+    words = hits.select(*key, F.explode(F.arrays_zip("starts", "stops")).alias("s")).select(*key, F.explode(F.sequence(F.col("s.starts"), F.col("s.stops") - 1)).alias("at"))
+    n_hit = words.distinct().groupBy(*key).agg(F.count("*").alias("n_hit"))
+    items = hits.select(*key, F.explode("items").alias("item")).distinct().groupBy(*key).agg(F.array_sort(F.collect_list("item")).alias("items"))
     return (
-        sizes.join(positions, "doc_id", "left")
-        .join(items, "doc_id", "left")
+        every.select(*key, "doc_id", "n_words")
+        .join(n_hit, key, "left")
+        .join(items, key, "left")
         .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
     )
 
@@ -299,27 +313,3 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
-
-
-def brute_force(docs: list[tuple], items: list[tuple], window: int = WINDOW) -> list[tuple]:
-    """The same result by sliding over word lists; for tests."""
-    import re
-
-    pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-    fold = str.maketrans({c: chr(c + 32) for c in range(65, 91)})
-    words = lambda t: pattern.findall((t or "").translate(fold))
-    windows: dict[tuple, set] = {}
-    for item, text in items:
-        w = words(text)
-        for k in range(max(1, len(w) - window + 1) if w else 0):
-            windows.setdefault(tuple(w[k : k + window]), set()).add(str(item))
-    out = []
-    for doc, text in docs:
-        w, hit, found = words(text), set(), set()
-        for size in {len(x) for x in windows}:
-            for k in range(len(w) - size + 1):
-                if got := windows.get(tuple(w[k : k + size])):
-                    hit.update(range(k, k + size))
-                    found |= got
-        out.append((doc, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
-    return out
