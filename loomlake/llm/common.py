@@ -40,6 +40,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def discard(*done: DataFrame) -> None:
+    """Delete what :func:`cut` wrote for tables that nothing will read again."""
+    for df in done:
+        file = df._jdf.queryExecution().logical().rdd().getCheckpointFile().get()
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Like :func:`cut`, as Parquet, for wide rows of which later steps read some columns only."""
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"

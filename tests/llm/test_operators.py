@@ -387,6 +387,9 @@ def near_copies(seed, n):
 def test_jaccard_join_against_brute_force(spark, monkeypatch, block):
     if block:
         monkeypatch.setattr(jaccard, "BLOCK", block)  # large families are split
+        monkeypatch.setattr(jaccard, "BLOCK_BYTES", 4 * block)
+        monkeypatch.setattr(jaccard, "BLOCK_SETS", 20)
+        monkeypatch.setattr(jaccard, "EDGES", 50)
     rows = list(enumerate(near_copies(7, 500))) + [(1000, None), (1001, ""), (1002, " \t\n"), (1003, "one two"), (1004, "ONE  two"), (1005, "x " * 30_000), (1006, "x " * 20_000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit(1)).withColumn("family", F.lit("f")).repartition(5)
     got = {tuple(x) for x in jaccard.near_duplicates(df).select("doc_id", "n_shingles", "component_id").collect()}
@@ -417,10 +420,25 @@ def test_dual_traversal_finds_all_links():
     sets = [np.unique(np.concatenate([r.choice(base, r.integers(150, 200), replace=False), r.integers(0, 2**63, r.integers(0, 30), dtype=np.int64).view(np.uint64)])) for _ in range(60)]
     sets += [np.unique(np.concatenate([base[: 100 + k], base[200 : 200 + k]])) for k in range(60)]
     want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if 100 * len(set(sets[i]) & set(sets[j])) >= 80 * len(set(sets[i]) | set(sets[j]))}
-    tree = jaccard.SignatureTree(sets)
-    assert set(jaccard.dual_traversal(tree)) == want
-    tree.exact = None
-    assert set(jaccard.dual_traversal(tree)) == want
+    tree, verify = jaccard.SignatureTree.of(sets), jaccard.Verifier(sets)
+    assert set(jaccard.dual_traversal(tree, verify)) == want
+    assert set(jaccard.dual_traversal(tree)) >= want
+    verify.exact = None
+    assert set(jaccard.dual_traversal(tree, verify)) == want
+
+
+def test_components_of_edges(spark):
+    r = random.Random(2)
+    edges = [(r.randrange(400), r.randrange(400)) for _ in range(250)] + [(1000 + k, 1001 + k) for k in range(300)] + [(5000, 6000 + k) for k in range(500)] + [(9, 9)]
+    up = {}
+    find = lambda x: x if up.setdefault(x, x) == x else find(up[x])
+    for a, b in edges:
+        if a != b:
+            low, high = sorted((find(a), find(b)))
+            up[high] = low
+    got = {tuple(x) for x in jaccard.components(spark.createDataFrame(edges, "a long, b long").repartition(7).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).collect()}
+    assert got == {(x, find(x)) for x in up}
+    assert jaccard.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 # --- shared helpers ---
