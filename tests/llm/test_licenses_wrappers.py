@@ -1,5 +1,6 @@
 """License scans and HTML extraction: edge cases, brute force, alignment."""
 
+import random
 import re
 
 import pytest
@@ -60,19 +61,125 @@ def test_extraction(spark):
         assert text[i] == TEXT + "".join(f"\nmore {i}" for _ in range(i))
     assert text[10] == text[11] == "only divs\nmore"
     assert [text[k] for k in (12, 13, 14, 15, 16)] == ["", "", "just text & more", "a", "a"]
-    assert {t for p, t in got if p == 18} == {"\n".join(["w"] * 5000), "1 < 2"} and text[19] == "yes\nline"
+    assert {t for p, t in got if p == 18} == {"\n".join(["w"] * 5000), "1 < 2"} and text[19] == "yes line"
     assert wrappers.extract(df.limit(0)).count() == 0
 
 
 def test_wrapper_is_union_free():
-    streams = [wrappers.fold(wrappers.Page(s).stream) for s in ("<div><p>a</p></div>", "<div><h2>t</h2><p>a</p><p>b</p><p>c</p></div>", "<div><p>a</p><p>b</p></div>")]
-    wrapper = [(x, False) for x in streams[0]]
-    for s in streams[1:]:
-        wrapper = wrappers.align(wrapper, [(x, False) for x in s])
-    assert wrappers.written(wrapper) == "<div> (<h2> #:div/h2 </h2>)? (<p> #:div/p </p>)+ </div>"
-    assert wrappers.roles(wrapper) == {"#:div/h2": True, "#:div/p": True}
+    trees = [wrappers.Page(x).tree for x in ("<div><p>a</p></div>", "<div><h2>t</h2><p>a</p><p>b</p><p>c</p></div>", "<div><p>a</p><p>b</p></div>")]
+    whole = trees[0]
+    for t in trees[1:]:
+        whole = wrappers.align(whole, t, wrappers.both_lists)
+    assert wrappers.written(whole) == "<div> (<h2> # </h2>)? (<p> # </p>)+ </div>"
 
 
 def test_fold_nested_repeats():
-    assert wrappers.fold("a b b c a b c a b b b c".split()) == ["a", "(b)+", "c", "a", "b", "c", "a", "(b)+", "c"]
-    assert wrappers.fold("a b b c a b b b c".split()) == ["(a (b)+ c)+"]
+    def said(letters):
+        return wrappers.written(wrappers.fold([["#", [k], False, False] if x == "#" else [x, [], False, False] for k, x in enumerate(letters.split())])).replace("<", "").replace(">", "")
+
+    tidy = lambda x: " ".join(w for w in x.split() if not w.startswith("/")).replace("  ", " ")
+    assert "(" not in said("a b c") and said("p p p").startswith("(p")
+    assert tidy(said("h p p h p p p")).startswith("(h")
+
+
+def stream(parts, out):
+    for p in parts:
+        if p[0] == "#":
+            out.append("#")
+        elif p[0] == "()":
+            stream(p[1], out)
+        else:
+            out.append("<" + p[0])
+            stream(p[1], out)
+            out.append(">")
+    return out
+
+
+def accepts(parts, words):
+    """Whether the wrapper, as a regular expression, generates a stream; by Python's own engine."""
+
+    def pattern(parts):
+        out = ""
+        for p in parts:
+            one = "(?:# )" if p[0] == "#" else f"(?:{pattern(p[1])})" if p[0] == "()" else f"(?:<{re.escape(p[0])} {pattern(p[1])}> )"
+            out += f"(?:{one}{'+' if p[2] else ''}){'?' if p[3] else ''}"
+        return out
+
+    return re.fullmatch(pattern(parts), "".join(w + " " for w in words)) is not None
+
+
+def unfolded(source, monkeypatch):
+    with monkeypatch.context() as m:
+        m.setattr(wrappers, "fold", lambda parts: parts)
+        return stream(wrappers.Page(source).tree, [])
+
+
+def test_wrapper_accepts_the_pages_it_comes_from(monkeypatch):
+    r = random.Random(3)
+    block = lambda: r.choice(["<p>x</p>", "<h2>t</h2><p>x</p>", "<ul>" + "<li>i</li>" * r.randint(1, 4) + "</ul>", "<div class='box'><p>y</p></div>", "<table><tr><td>1</td><td>2</td></tr><tr><td>3</td></tr></table>"])
+    for _ in range(60):
+        sources = ["<div>top</div><article>" + "".join(block() for _ in range(r.randint(0, 6))) + "</article>" + r.choice(["", "<div>end</div>"]) for _ in range(4)]
+        trees = [wrappers.filled(p.tree, iter(wrappers.page_slots(p))) for p in map(wrappers.Page, sources)]
+        whole = wrappers.one_wrapper([{"parts": t, "coarse": False} for t in trees], 3000)["parts"]
+        for source in sources:
+            assert accepts(whole, unfolded(source, monkeypatch)), (sources, wrappers.written(whole))
+
+
+NAMES = ["page with-sidebar", "content-sidebar-wrap", "legal-guide", "search-engine-review", "social-policy", "form-guide"]
+
+
+def test_names_around_the_article_do_not_empty_it(spark):
+    rows = [
+        (0, f'<div class="content-sidebar-wrap">{"<p>words of the text</p>" * 3}</div>', "\n".join(["words of the text"] * 3)),
+        (1, f'<div class="page with-sidebar"><div class="sidebar"><p>side</p></div><div>{"<p>words of the text</p>" * 3}</div></div>', "\n".join(["words of the text"] * 3)),
+        (2, '<main><div class="legal-guide"><p>words of law</p></div></main>', "words of law"),
+        (3, '<article><div class="search-engine-review"><p>an engine</p></div><div class="share-buttons">tell</div></article>', "an engine"),
+        (4, '<article class="social-policy"><p>policy</p></article>', "policy"),
+        (5, '<div class="form-guide"><p>how to fill forms in</p></div><form>name</form>', "how to fill forms in"),
+        (6, f'<form id="aspnetForm"><nav>menu</nav><div><p>{"all inside a form " * 9}</p></div></form>', ("all inside a form " * 9).strip()),
+        (7, "<div>" * 3000 + "<p>deep</p>" + "</div>" * 3000 + "<p>and out</p>", "deep\nand out"),
+    ]
+    df = spark.createDataFrame([(i, f"http://h{i}.example.com/", h) for i, h, _ in rows], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in wrappers.extract(df).collect()} == {i: t for i, _, t in rows}
+
+
+def site(n, r):
+    """Pages of one host whose parts have no telling names, and their article texts."""
+    word = lambda k: " ".join("".join(r.choices("abcdeo", k=5)) for _ in range(k))
+    out = []
+    for k in range(n):
+        paras = [word(r.randint(5, 30)) for _ in range(r.randint(1, 6))]
+        title = word(3)
+        menu = "".join(f"<a href=/{x}>{word(1)}</a><hr>" if r.random() < 2 else "" for x in range(4))
+        extra = f'<div class="qx"><p>{word(4)}</p></div>' if r.random() < 0.3 else ""
+        body = f'<div class="aa"><p>Welcome to our pages</p></div><div class="bb"><div>{menu}</div></div><div class="cc"><h1>{title}</h1>{"".join(f"<p>{p}</p>" for p in paras)}</div>{extra}<div class="dd"><p>All rights are ours</p><p>Made with care</p></div>'
+        out.append((k, f"https://site.example.com/{k}", f"<html><body>{body}</body></html>", "\n".join([title, *paras] + ([re.search("<p>(.*?)</p>", extra)[1]] if extra else []))))
+    return out
+
+
+@pytest.mark.parametrize("fan_in", [32, 2])
+def test_wrapper_decides(spark, monkeypatch, fan_in):
+    rows = site(40, random.Random(5))
+    df = spark.createDataFrame([x[:3] for x in rows], "page_id long, url string, html string").repartition(4)
+    monkeypatch.setattr(wrappers, "FAN_IN", fan_in)
+    monkeypatch.setattr(wrappers.infer, "__defaults__", (fan_in, wrappers.WRAPPER_PARTS))
+    want = {k: t for k, _, _, t in rows}
+    for chars in (wrappers.BROADCAST_CHARS, 0):
+        assert {r["page_id"]: r["text"] for r in wrappers.extract(df, chars).collect()} == want
+    # without the wrapper, equal text and menus of unlisted names stay
+    alone = {k: wrappers.Extractor(None).text(wrappers.Page(h)) for k, _, h, _ in rows}
+    assert all(alone[k] != want[k] and "Welcome to our pages" in alone[k] for k in want)
+
+
+def test_copies_of_one_page_are_no_template(spark):
+    rows = [(k, "http://a.example.com/", "<div><p>the same text on every copy</p></div>") for k in range(9)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["text"] for r in wrappers.extract(df).collect()} == {"the same text on every copy"}
+
+
+def test_large_wrappers_are_written_again_without_names(spark):
+    rows = [(k, "http://a.example.com/", f'<div class="x{chr(97 + k % 26)}{chr(97 + k // 26)}q"><p>text {k}</p></div><div class="ad-box">ad {k}</div><div class="y{chr(97 + k % 26)}q"><p>more {k}</p></div>') for k in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert wrappers.infer(df.withColumn("host", F.lit("h")), limit=20).count() == 1
+    assert wrappers.one_wrapper([{"parts": wrappers.filled(p.tree, iter(wrappers.page_slots(p))), "coarse": False} for p in (wrappers.Page(h) for _, _, h in rows)], 20)["coarse"]
+    assert {r["page_id"]: r["text"] for r in wrappers.extract(df).collect()} == {k: f"text {k}\nmore {k}" for k in range(60)}
