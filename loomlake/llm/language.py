@@ -5,12 +5,14 @@ the longest piece that occurs in the labelled text is a phrase, and the next phr
 phrases times log2 of the labelled text's length, over the text's length, estimates the cross entropy in bits a
 letter; the language needing fewest such normalised phrases wins.
 
-All windows of a batch are parsed in lockstep by numpy over dense transition tables. Whole texts are parsed, in
-windows of ``WINDOW`` letters (a phrase ends with its window, for all languages alike).
+All windows of a batch are parsed in lockstep by numpy. The automata's transitions lie in one array, the rows of the states
+displaced so that they interlock (``Transitions``): every learned letter of any script can match, and the model has a few
+bytes a learned letter. Whole texts are parsed, in windows of ``WINDOW`` letters (a phrase ends with its window, for all
+languages alike).
 
 The model is fitted on at most ``TRAIN_CHARS`` letters a language and ``TRAIN_ROWS`` rows a language (in order of a
-hash of doc_id, texts of at most ``TRAIN_TEXT`` characters, each distinct text once); the bound does not grow with the
-data, and nothing but these rows comes to the driver.
+hash of doc_id, of longer texts the first ``TRAIN_TEXT`` characters, each distinct text once); the bound does not grow with the
+rows, and nothing but these rows comes to the driver. It grows with the number of languages, each value of ``lang`` being one.
 
 Defined results: null text and text without letters give ``und`` and score 0; rows with a null language are not
 learned from; with no labelled rows all is ``und``; equal counts go to the alphabetically first language with score
@@ -33,7 +35,6 @@ from .common import chunks, table
 
 WINDOW = 512
 TRAIN_CHARS, TRAIN_ROWS, TRAIN_TEXT = 50_000, 200, 20_000
-SYMBOLS = 96  # at most; rarer letters share one that never matches
 SCHEMA = "doc_id long, lang_pred string, score double, bits double"
 
 
@@ -67,8 +68,53 @@ def suffix_automaton(seq: list[int]) -> list[dict[int, int]]:
     return nxt
 
 
+class Transitions:
+    """Transitions of all states in one array: state s goes by letter c to ``target[base[s] + c]`` if ``owner`` there is s."""
+
+    def __init__(self, rows: list[dict[int, int]], letters: int):
+        total = sum(map(len, rows))
+        span = total * 8 // 5 + 64
+        slots = np.zeros(span + letters, bool)
+        self.base = np.zeros(len(rows), np.int32)
+        places = np.random.default_rng(len(rows))
+        # states of several letters at a random place where they fit, those of one letter into the holes
+        for s in sorted((k for k, r in enumerate(rows) if len(r) > 1), key=lambda k: -len(rows[k])):
+            own, tries = np.fromiter(rows[s], np.int64), 0
+            while True:
+                at = places.integers(0, span, 16)
+                fits = np.flatnonzero(~slots[at[:, None] + own[None, :]].any(axis=1))
+                if len(fits):
+                    break
+                tries += 1
+                if tries % 64 == 0:
+                    slots = np.concatenate([slots, np.zeros(span // 4, bool)])
+                    span += span // 4
+            self.base[s] = at[fits[0]]
+            slots[self.base[s] + own] = True
+        ones = np.array([k for k, r in enumerate(rows) if len(r) == 1], np.int64)
+        only = np.array([next(iter(rows[k])) for k in ones], np.int64)
+        holes = np.flatnonzero(~slots[letters:])[: len(ones)] + letters
+        if len(holes) < len(ones):
+            holes = np.concatenate([holes, np.arange(len(slots), len(slots) + len(ones) - len(holes))])
+        self.base[ones] = holes - only
+        size = max(len(slots), int(holes.max(initial=0)) + 1)
+        self.owner, self.target = np.full(size, -1, np.int32), np.zeros(size, np.int32)
+        for s, r in enumerate(rows):
+            if r:
+                at = self.base[s] + np.fromiter(r, np.int64)
+                self.owner[at], self.target[at] = s, np.fromiter(r.values(), np.int64)
+        last = int(np.flatnonzero(self.owner >= 0).max(initial=0)) + letters + 1  # any state may be asked for any letter
+        pad = max(0, last - size)
+        self.owner, self.target = np.pad(self.owner, (0, pad), constant_values=-1)[:last], np.pad(self.target, (0, pad))[:last]
+
+    def __call__(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """The next states, -1 where there is none."""
+        at = self.base[state] + letter
+        return np.where(self.owner[at] == state, self.target[at], -1)
+
+
 class CrossParser:
-    """Languages, letter table and one transition table for all automata."""
+    """Languages, letter table and the transitions of all automata."""
 
     def __init__(self, texts: dict[str, list[str]], limit: int = TRAIN_CHARS):
         self.langs = sorted(texts)
@@ -76,9 +122,9 @@ class CrossParser:
         for lang in self.langs:
             for t in texts[lang]:
                 letters.update(t.lower())
-        known = [c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0])) if c.isalpha() and len(c) == 1][: SYMBOLS - 2]
-        self.size = len(known) + 2  # 0: between words, last: other letters
-        code = np.zeros(0x110000, np.uint8)
+        known = [c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0])) if c.isalpha()]
+        self.size = len(known) + 2  # 0: between words, last: letters that were never learned
+        code = np.zeros(0x110000, np.uint16 if self.size < 2**16 else np.int32)
         own = {c: i + 1 for i, c in enumerate(known)}
         for p in range(0x110000):
             c = chr(p)
@@ -86,7 +132,8 @@ class CrossParser:
                 low = c.lower()
                 code[p] = own.get(low[0] if low else c, self.size - 1)
         self.code = code
-        blocks, base, self.weights, roots = [], 0, [], []
+        rows: list[dict[int, int]] = []
+        self.weights, roots = [], []
         for lang in self.langs:
             seq: list[int] = []
             for t in texts[lang]:
@@ -95,20 +142,16 @@ class CrossParser:
                 if len(seq) >= limit:
                     break
             seq = seq[:limit] or [0]
-            nxt = suffix_automaton(seq)
-            t = np.full((len(nxt), self.size), -1, np.int32)
-            for s, d in enumerate(nxt):
-                for c, to in d.items():
-                    if c != self.size - 1:
-                        t[s, c] = (base + to) * self.size
-            roots.append(base * self.size)
-            blocks.append(t)
-            base += len(nxt)
+            base = len(rows)
+            roots.append(base)
+            rows += [{c: base + to for c, to in d.items() if c != self.size - 1} for d in suffix_automaton(seq)]
             self.weights.append(math.log2(len(seq) + 1))
-        self.trans = np.concatenate(blocks).ravel() if blocks else np.zeros(0, np.int32)
         self.roots = np.array(roots, np.int32)
-        again = [np.where(t[0] >= 0, t[0], r) for t, r in zip(blocks, roots, strict=True)]
-        self.again = np.array(again, np.int32).reshape(len(blocks), self.size)
+        self.next = Transitions(rows, self.size)
+        self.again = np.repeat(self.roots[:, None], self.size, axis=1)  # where a phrase that begins with a letter stands
+        for k, root in enumerate(roots):
+            for c, to in rows[root].items():
+                self.again[k, c] = to
         self.unknown = self.again == self.roots[:, None]  # a letter that never occurs is a phrase of its own
 
     def symbols(self, points: np.ndarray) -> np.ndarray:
@@ -127,14 +170,14 @@ class CrossParser:
         stops = np.minimum(starts + WINDOW, bounds[1:][owner])
         order = np.argsort(starts - stops, kind="stable")  # the longest first
         starts, owner, size = starts[order], owner[order], (stops - starts)[order]
-        padded = np.concatenate([seq, np.zeros(WINDOW, np.uint8)])
+        padded = np.concatenate([seq, np.zeros(WINDOW, seq.dtype)])
         langs = len(self.langs)
         count = np.zeros((langs, len(starts)), np.int32)
         state = np.repeat(self.roots[:, None], len(starts), axis=1)
         active = np.searchsorted(-size, -np.arange(size[0] if len(size) else 0), side="left")
         for t, n in enumerate(active):
             c = padded[starts[:n] + t]
-            to = self.trans[state[:, :n] + c]
+            to = self.next(state[:, :n], c)
             dead = to < 0
             count[:, :n] += dead & (state[:, :n] != self.roots[:, None])
             count[:, :n] += self.unknown[:, c]
@@ -174,7 +217,7 @@ def labelled_sample(rows: DataFrame) -> dict[str, list[str]]:
     for lang, n in counts.items():  # on average twice the rows of the bound
         near = F.col("lang").eqNullSafe(F.lit(lang)) & (key < F.lit(min(2**63 - 1, -(2**63) + 2**64 * 2 * TRAIN_ROWS // n)))
         wanted = near if wanted is None else wanted | near
-    got = rows.where(wanted).where(F.length("text") <= TRAIN_TEXT).select("lang", key.alias("h"), "doc_id", "text")
+    got = rows.where(wanted).select("lang", key.alias("h"), "doc_id", F.substring("text", 1, TRAIN_TEXT).alias("text"))
     texts: dict[str, list[str]] = {}
     for r in sorted(got.collect(), key=lambda r: (r["h"], str(r["doc_id"]))):
         own = texts.setdefault(r["lang"], [])
