@@ -2,9 +2,12 @@
 
 A document is its token ids and an end id. One longer than a sequence is cut into full sequences, its first piece being
 the shorter rest; only the shorter pieces need packing. Every partition best-fits its own items, longest first, into the
-fullest bin that has room, and emits the bins that are nearly full. Bins left underfull go on to a round on at most a
-quarter of the partitions, their pieces as items again, and so on up to one, which emits all. So that long items of one
-partition meet short ones of another, each partition also opens about the square root of its bins of short items only.
+fullest bin that has room, and emits the bins that are nearly full. If that leaves many items, the histograms of all open items' lengths
+and of all open bins' rooms (at most a sequence's length of numbers each) tell which bins can still gain: a bin is emitted as it is if
+no open item is as short as its room, and of the bins with one room only as many stay open as there are open items that short. What is left goes on to
+a round on fewer partitions, the pieces of underfull bins as items again, so that long items of one partition meet short ones
+of another; each partition also opens about the square root of its bins of short items only. A round has a partition for each
+``PER_PARTITION`` open items, never fewer; the last is the one that needs a single partition, or follows a round that closed little.
 
 Token ids equal those of the ``tokenizers`` library for the same file. Texts are cut at single spaces between other
 characters, where its byte-level pattern always ends a token, and each distinct cut is tokenized once by ``tiktoken``
@@ -26,7 +29,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import chunks, cut, table
@@ -38,9 +41,10 @@ VOCABULARY = "byte_bpe_50k"
 SPECIAL = "<|endoftext|>"
 ODD_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PER_PARTITION = 100_000  # items of a partition of the first round; a row is two longs
-ROUND = 4  # a round has at most a quarter of the last one's partitions
+PER_PARTITION = 100_000  # items of a partition of any round, on average; a row is two longs
+LITTLE, STALLED = 0.25, 0.75  # shares of open items: above the first, bins that can't gain are closed; above the second, all are in the next round
 SLACK = 1  # room up to which a bin is nearly full
+SPARE = 1.2  # open bins for each open item that fits into them
 
 _tokenizers: dict = {}
 
@@ -139,7 +143,7 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _round(items: DataFrame, capacity: int, slack: int) -> DataFrame:
-    """Best-fit each partition's items (item, fill): (item, fill, bin, place, closed)."""
+    """Best-fit each partition's items (item, fill): (item, fill, bin, place, room, closed)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [pa.RecordBatch.from_arrays([b.column("item"), b.column("fill")], ["item", "fill"]) for b in batches if b.num_rows]
@@ -160,25 +164,49 @@ def _round(items: DataFrame, capacity: int, slack: int) -> DataFrame:
             closed[spare] = False
         lead = np.zeros(len(rooms), np.int64)
         lead[bin_of[place == 0]] = item[place == 0]  # a bin is named by its first item
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (item, fill, lead[bin_of], place, closed[bin_of])], ["item", "fill", "bin", "place", "closed"])
-
-    return items.mapInArrow(run, "item long, fill long, bin long, place long, closed boolean")
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (item, fill, lead[bin_of], place, rooms[bin_of], closed[bin_of])], ["item", "fill", "bin", "place", "room", "closed"])
+
+    return items.mapInArrow(run, "item long, fill long, bin long, place long, room long, closed boolean")
+
+
+def can_gain(done: DataFrame, capacity: int) -> Column:
+    """Which open bins of a round stay open: those that an open item may still fill, as far as such items go."""
+    kept = np.full(capacity + 1, 1_000_000)  # of a million, by room
+    part = F.pmod(F.xxhash64("bin"), F.lit(1_000_000))
+    stays = lambda: ~F.col("closed") & (part < F.array(*map(F.lit, kept.tolist()))[F.col("room").cast("int")])
+    for _ in range(4):  # what is closed takes its items with it, so others may have nothing to gain then
+        rows = done.where(stays()).groupBy("fill", "room").agg(F.count("*").alias("items"), F.sum((F.col("place") == 0).cast("long")).alias("bins"))
+        # two histograms, not their product
+        short, bins = np.zeros(capacity + 1), np.zeros(capacity + 1)
+        for r in rows.groupBy("fill").agg(F.sum("items").alias("n")).collect():
+            short[r["fill"]] = r["n"]
+        for r in rows.groupBy("room").agg(F.sum("bins").alias("n")).collect():
+            bins[r["room"]] = r["n"]
+        share = np.minimum(1, SPARE * np.cumsum(short) / np.maximum(bins, 1))
+        was, kept = kept, np.where(share < 1, np.floor(kept * share), kept).astype(np.int64)
+        if (bins[kept < was] == 0).all():
+            break
+    return stays()
 
 
 def pack(items: DataFrame, capacity: int = SEQUENCE, per_partition: int = PER_PARTITION) -> DataFrame:
     """(item, sequence_id, offset) for items (item long, distinct; fill long, from 1 to capacity)."""
-    left = items.count()
-    out = None
-    parts = max(1, -(-left // per_partition))
+    left, out, turn, stalled = items.count(), None, 0, False
     while True:
-        done = cut(_round(items.repartition(parts, F.xxhash64("item", F.lit(parts))), capacity, SLACK if parts > 1 else capacity))
-        full = done.where("closed").select("item", F.col("bin").alias("sequence_id"), F.col("place").alias("offset"))
+        parts = max(1, -(-left // per_partition))
+        final = parts == 1 or stalled
+        done = cut(_round(items.repartition(parts, F.xxhash64("item", F.lit(turn))), capacity, capacity if final else SLACK))
+        stays = F.lit(False) if final else ~F.col("closed")
+        rest = 0 if final else done.where(stays).count()
+        if rest > max(per_partition, LITTLE * left):
+            stays = can_gain(done, capacity)
+            rest = done.where(stays).count()
+        full = done.where(~stays).select("item", F.col("bin").alias("sequence_id"), F.col("place").alias("offset"))
         out = full if out is None else out.unionByName(full)
-        if parts == 1:
+        if not rest:
             return out
-        items = done.where("NOT closed").select("item", "fill")
-        left = items.count()
-        parts = max(1, min(parts // ROUND, -(-left // per_partition)))
+        items = done.where(stays).select("item", "fill")
+        stalled, left, turn = rest > STALLED * left, rest, turn + 1
 
 
 def pack_documents(docs: DataFrame, sequence: int = SEQUENCE, end_id: int = END_ID, vocabulary: str = VOCABULARY) -> DataFrame:
