@@ -61,3 +61,20 @@ def test_stages_keep_columns_and_stand_empty_tables(spark, tables):
         assert stage(spark, docs, sf_dir).columns == docs.columns
         assert stage(spark, docs.limit(0), sf_dir).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), sf_dir).count() == 0
+
+
+def test_stages_decide_by_row(spark, tmp_path):
+    """Repeated and null ids: a row goes for its own text only, and one of each group stays."""
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+    hit = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    rows = [(5, words(1)), (5, words(1)), (5, words(2)), (None, words(2)), (None, words(3)), (None, words(3)), (7, words(4) + " " + hit), (7, words(5)), (None, hit), (9, words(6))]
+    spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], COLUMNS).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, hit)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages, docs = dict(corpus_pipeline.STAGES), spark.read.parquet(f"{tmp_path}/documents.parquet")
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    said = lambda df: sorted(((x["doc_id"], x["text"]) for x in df.collect()), key=key)
+    assert said(stages["near_duplicates"](spark, docs, str(tmp_path))) == sorted([rows[0], rows[2], rows[4], rows[6], rows[7], rows[8], rows[9]], key=key)
+    loose = spark.createDataFrame(docs.collect(), COLUMNS).repartition(4)
+    assert said(stages["near_duplicates"](spark, loose, str(tmp_path))) and len({x[0] for x in corpus_pipeline.numbered(docs).select(corpus_pipeline.ROW).collect()}) == len(rows)
+    assert said(stages["decontamination"](spark, loose, str(tmp_path))) == said(stages["decontamination"](spark, docs, str(tmp_path)))
+    assert said(stages["decontamination"](spark, docs, str(tmp_path))) == sorted([r for r in rows if hit not in r[1]], key=key)
