@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def text_hash(value: Column) -> Column:
@@ -37,9 +42,25 @@ def plain_set_hash(member: Column) -> Column:
     return F.sha2(F.array_join(F.array_sort(F.collect_set(member.cast("string"))), "\n"), 256)
 
 
-def hash_chain(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
-    """``chain``: sha256 over the last link and the row; a key's values up to a row meet in it (a file's chunks)."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    upto = F.collect_list(F.col(value).cast("string")).over(w)
-    fold = F.aggregate("_upto", F.lit(""), lambda acc, x: F.sha2(F.concat(acc, F.lit("|"), x), 256))
-    return df.withColumn("_upto", upto).withColumn("chain", fold).drop("_upto")
+def hash_chain(df: DataFrame, key: str, order: str, value: str, start: str = "") -> DataFrame:
+    """``chain``: sha256 over the last link and the row (a file's chunks, in their order).
+
+    A chain is sequential by nature: rows are dealt by key and sorted, and each partition is folded as it streams by, so a key
+    takes time in proportion to its rows and no memory. Nulls count as empty.
+    """
+    schema = StructType([*df.schema.fields, StructField("chain", StringType())])
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, link, begun = None, start, False
+        for batch in batches:
+            links = []
+            for k, v in zip(batch.column("_chain_key").to_pylist(), batch.column("_chain_value").to_pylist(), strict=True):
+                if not begun or k != at:
+                    at, link, begun = k, start, True
+                link = hashlib.sha256(f"{link}|{v or ''}".encode()).hexdigest()
+                links.append(link)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-1]), pa.array(links, pa.string())], names)
+
+    d = df.withColumns({"_chain_key": F.col(key).cast("string"), "_chain_value": F.col(value).cast("string")})
+    return d.repartition(key).sortWithinPartitions("_chain_key", order).mapInArrow(run, schema)

@@ -27,10 +27,27 @@ def open_on(day: Column, start: Column, end: Column, closed: Column) -> Column:
     return ~F.coalesce(closed, F.lit(False)) & (start.isNull() | (start <= day)) & (end.isNull() | (end >= day))
 
 
-def date_kind(text: Column, zone: str = ZONE) -> Column:
-    """DAY for a plain date or midnight UTC, INSTANT for other times, INVALID, or null without a value."""
-    stamp = F.try_to_timestamp(text)
-    return F.when(text.isNull(), F.lit(None).cast("string")).when(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & stamp.isNotNull(), "DAY").when(stamp.isNull(), "INVALID").when(text.rlike("T00:00:00(\\.0+)?(Z|\\+00:?00)$"), "DAY").otherwise("INSTANT")
+def date_kind(text: Column) -> Column:
+    """DAY for a plain date or one at midnight ``Z``, INSTANT for a time with seconds and an offset, INVALID for anything else; null has none.
+
+    Sources write days as midnight UTC, which tells a day and no time; midnight with a numeric offset is an instant.
+    """
+    day = F.to_date(F.try_to_timestamp(F.substring(text, 1, 10), F.lit("yyyy-MM-dd")))
+    exact = F.date_format(day, "yyyy-MM-dd") == F.substring(text, 1, 10)
+    clock = (F.substring(text, 12, 2) <= "23") & (F.substring(text, 15, 2) <= "59") & (F.substring(text, 18, 2) <= "59")
+    is_day = text.rlike(r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}(T00:00:00(\.0+)?Z)?\z")
+    is_instant = text.rlike(r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})\z")
+    ok = F.coalesce(exact, F.lit(False))
+    return F.when(text.isNull(), F.lit(None).cast("string")).when(is_day & ok, "DAY").when(is_day, "INVALID").when(is_instant & ok & clock & F.try_to_timestamp(text).isNotNull(), "INSTANT").otherwise("INVALID")
+
+
+def stated_day(text: Column) -> Column:
+    """The day of a :func:`date_kind` DAY."""
+    return F.when(date_kind(text) == "DAY", F.to_date(F.try_to_timestamp(F.substring(text, 1, 10), F.lit("yyyy-MM-dd"))))
+
+
+def stated_instant(text: Column) -> Column:
+    return F.when(date_kind(text) == "INSTANT", F.try_to_timestamp(text))
 
 
 def in_window(day: Column, as_of: Column, days: int) -> Column:

@@ -29,9 +29,19 @@ def source_text(text: Column) -> Column:
     return F.nullif(F.regexp_replace(text, f"^{SPACES}+|{SPACES}+$", ""), F.lit(""))
 
 
+#: First digit of each script's ten decimal digits in the basic plane: fixed values.
+_ZEROS = "0٠۰߀०০੦૦୦௦౦೦൦෦๐໐༠၀႐០᠐᥆᧐᪀᪐᭐᮰᱀᱐꘠꣐꤀꧐꧰꩐꯰０"
+
+
+def ascii_digits(text: Column) -> Column:
+    """Decimal digits of all scripts (basic plane) as 0-9."""
+    return F.translate(text, "".join(chr(ord(z) + k) for z in _ZEROS for k in range(10)), "0123456789" * len(_ZEROS))
+
+
 def source_integer(text: Column) -> Column:
-    t = source_text(text)
-    return F.when(t.rlike("^[0-9]+$"), F.try_to_number(t, F.lit("9" * 18)).cast("long"))
+    """A non-negative whole number in the digits of any script; others, and numbers beyond 64 bits, are null."""
+    t = ascii_digits(source_text(text))
+    return F.when(t.rlike("^[0-9]+$"), t.try_cast("long"))
 
 
 def day(text: Column) -> Column:

@@ -33,12 +33,15 @@ def ladder(*steps: tuple[str, Column], default: str) -> Column:
 
 
 def review_status(proposals: DataFrame, decisions: DataFrame, key: str, proposal_cutoff: int, decision_cutoff: int) -> DataFrame:
-    """(key, proposal_id, status) at a cut-off: latest proposal, and its latest decision by another than its proposer."""
+    """(key, proposal_id, status) at a cut-off: latest proposal, and its latest decision by another than its proposer.
+
+    Every latest proposal has a row; a decision of the proposer's own counts as none.
+    """
     p = as_of(proposals, [key], ["proposal_no"], "proposal_no", proposal_cutoff)
-    d = as_of(decisions, ["proposal_id"], ["decision_id"], "decision_id", decision_cutoff).select("proposal_id", "decision", "reviewer")
-    j = p.join(d, "proposal_id", "left").where("reviewer IS NULL OR reviewer <> proposer")
+    own = decisions.join(proposals.select("proposal_id", "proposer").distinct(), "proposal_id", "left").where("proposer IS NULL OR reviewer <> proposer")
+    d = as_of(own.select(decisions.columns), ["proposal_id"], ["decision_id"], "decision_id", decision_cutoff).select("proposal_id", "decision")
     status = ladder(("REJECTED", F.col("decision") == "REJECT"), ("ACCEPTED", F.col("decision") == "ACCEPT"), default="PENDING")
-    return j.select(key, "proposal_id", status.alias("status"))
+    return p.join(d, "proposal_id", "left").select(key, "proposal_id", status.alias("status"))
 
 
 def histogram(df: DataFrame, column: str) -> DataFrame:

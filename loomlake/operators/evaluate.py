@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import fold_space
+from ..storage import cut
+
 
 def stratified_sample(df: DataFrame, stratum: str, row_id: str, seed: str, size: int) -> DataFrame:
     """The first ``size`` rows of each stratum by a hash of seed and id, with their ``place``; the same rows at every run."""
@@ -25,10 +28,23 @@ def precision_recall(df: DataFrame, predicted: Column, actual: Column, by: list[
 
 
 def exact_duplicates(df: DataFrame, row_id: str, text: str) -> DataFrame:
-    """(row_id, group_id, representative, members) of texts that are equal when folded: lower case, white space as one space."""
-    from ..functions.text import fold_space
-
-    h = F.sha2(F.lower(fold_space(F.col(text))), 256)
-    d = df.select(row_id, h.alias("group_id"))
-    g = d.groupBy("group_id").agg(F.min(row_id).alias("representative"), F.count("*").alias("members"))
-    return d.join(g, "group_id").select(row_id, "group_id", "representative", "members")
+    """(row_id, group_id, representative, members) of texts that are equal when folded: lower case, white space as one space; nulls are one group."""
+    d = cut(df.select(row_id, F.unhex(F.sha2(F.lower(fold_space(F.col(text))), 256)).alias("_h")))  # texts are read once
+    g = cut(d.groupBy("_h").agg(F.min(row_id).alias("representative"), F.count("*").alias("members")))
+    return d.join(g.withColumnRenamed("_h", "_g"), F.col("_h").eqNullSafe(F.col("_g"))).select(row_id, F.lower(F.hex("_h")).alias("group_id"), "representative", "members")
+
+
+def retrieval_recall(gold: DataFrame, shortlist: DataFrame, key: list[str], cutoffs: list[int]) -> DataFrame:
+    """(cutoff, labels, found, recall): labelled pairs that a shortlist (key, rank) has within each rank."""
+    j = gold.join(shortlist.select(*key, "rank"), key, "left")
+    counts = [F.struct(F.lit(c).alias("cutoff"), F.count("*").alias("labels"), F.count_if(F.col("rank") <= c).alias("found")).alias(f"c{c}") for c in cutoffs]
+    d = j.agg(*counts).select(F.inline(F.array(*[f"c{c}" for c in cutoffs])))
+    return d.withColumn("recall", F.round(F.try_divide("found", "labels"), 6))
+
+
+def label_matches(gold: DataFrame, predicted: DataFrame, key: list[str], label: str) -> DataFrame:
+    """(label, matched, missed, added): each label of a row counted once, on both sides."""
+    a = gold.select(*key, label).distinct().withColumn("_g", F.lit(True))
+    b = predicted.select(*key, label).distinct().withColumn("_p", F.lit(True))
+    j = a.join(b, [*key, label], "full")
+    return j.groupBy(label).agg(F.count_if(F.col("_g") & F.col("_p")).alias("matched"), F.count_if(F.col("_p").isNull()).alias("missed"), F.count_if(F.col("_g").isNull()).alias("added"))

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import cut, discard
+
 
 def nodes(df: DataFrame, label: str, key: Column, properties: list[str]) -> DataFrame:
     """(node_id, label, properties json, content_hash)."""
@@ -38,16 +40,27 @@ def collapse(edges_: DataFrame, binding: DataFrame, dropped: tuple[str, ...] = (
 
 
 def flat_properties(df: DataFrame, key: str, json_column: str) -> DataFrame:
-    """(key, path, value): leaves of nested JSON objects, names joined by dots (a dot in a name is ``\\.``)."""
-    level = df.select(key, F.lit("").alias("path"), F.col(json_column).alias("v"))
-    leaves = []
-    while not leaves or not level.isEmpty():
-        inner = level.select(key, "path", F.explode(F.from_json("v", "map<string,string>")).alias("k", "v"))
-        inner = inner.withColumn("path", F.concat("path", F.when(F.col("path") != "", ".").otherwise(""), F.replace("k", F.lit("."), F.lit("\\.")))).drop("k")
-        nested = F.coalesce(F.trim("v").startswith("{"), F.lit(False))
-        leaves.append(inner.where(~nested & F.col("v").isNotNull()))
-        level = inner.where(nested)
-    return reduce(DataFrame.unionByName, leaves).select(key, "path", F.col("v").alias("value"))
+    """(key, path, kind, value): leaves of JSON objects of any depth, names joined by dots (in a name ``~`` is ``~0``, ``.`` is ``~2``).
+
+    Values keep their JSON kind (``string``, ``number``, ``boolean``, ``array``); nulls are left out, and so is text that is no object. An array must be of plain
+    values of one kind: others have the kind ``invalid``. One round for each level of the deepest object.
+    """
+    inner = "map<string,variant>"
+    level = df.select(F.col(key).alias("_key"), F.lit("").alias("_path"), F.try_parse_json(json_column).alias("_v")).where("schema_of_variant(_v) LIKE 'OBJECT%'")
+    found = None
+    while True:
+        each = level.select("_key", "_path", F.explode(F.try_variant_get("_v", "$", inner)).alias("_name", "_v")).where("_v IS NOT NULL AND NOT is_variant_null(_v)")
+        name = F.replace(F.replace("_name", F.lit("~"), F.lit("~0")), F.lit("."), F.lit("~2"))
+        each = cut(each.select("_key", F.concat("_path", F.when(F.col("_path") != "", ".").otherwise(""), name).alias("_path"), "_v", F.expr("schema_of_variant(_v)").alias("_kind")))
+        leaves = each.where("_kind NOT LIKE 'OBJECT%'")
+        found = leaves if found is None else found.unionByName(leaves)
+        level = each.where("_kind LIKE 'OBJECT%'")
+        if level.isEmpty():
+            break
+    plain = F.col("_kind").rlike("^ARRAY<(STRING|BIGINT|DOUBLE|DECIMAL.*|BOOLEAN|VOID)>$")
+    kind = F.when(F.col("_kind") == "STRING", "string").when(F.col("_kind") == "BOOLEAN", "boolean").when(plain, "array").when(F.col("_kind").startswith("ARRAY"), "invalid").otherwise("number")
+    text = F.when(F.col("_kind") == "STRING", F.try_variant_get("_v", "$", "string")).otherwise(F.to_json("_v"))
+    return found.select(F.col("_key").alias(key), F.col("_path").alias("path"), kind.alias("kind"), text.alias("value"))
 
 
 def typed_properties(flat: DataFrame, key: str) -> DataFrame:
@@ -58,18 +71,14 @@ def typed_properties(flat: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """Computed once, without lineage; in the shared folder if there is one."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
-
-
 def ancestors(links: DataFrame, child: str, parent: str) -> DataFrame:
     """(node, ancestor, steps) by path doubling, until a round adds no pair; the nodes of a cycle are their own ancestors."""
     a = links.select(F.col(child).alias("node"), F.col(parent).alias("ancestor"), F.lit(1).alias("steps"))
-    a, n, before = _kept(a), -1, -2
+    a, n, before = cut(a), -1, -2
     while n != before:
         b = a.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("_up"), F.col("steps").alias("_s"))
-        a = _kept(a.unionByName(a.join(b, "ancestor").select("node", F.col("_up").alias("ancestor"), (F.col("steps") + F.col("_s")).alias("steps"))).groupBy("node", "ancestor").agg(F.min("steps").alias("steps")))
+        last, a = a, cut(a.unionByName(a.join(b, "ancestor").select("node", F.col("_up").alias("ancestor"), (F.col("steps") + F.col("_s")).alias("steps"))).groupBy("node", "ancestor").agg(F.min("steps").alias("steps")))
+        discard(last)
         before, n = n, a.count()
     return a
 

@@ -56,6 +56,11 @@ def immutable_conflicts(existing: DataFrame, incoming: DataFrame, keys: list[str
     return incoming.join(old, keys).where(~F.col(content).eqNullSafe(F.col("existing_content")))
 
 
+def batch_conflicts(incoming: DataFrame, keys: list[str], content: str) -> DataFrame:
+    """Keys that one batch brings with several contents, null being one."""
+    return incoming.groupBy(*keys).agg(F.count_distinct(F.struct(content)).alias("contents")).where("contents > 1")
+
+
 def upsert_latest(existing: DataFrame, incoming: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Both sides' rows, the newest of each key: an older run never overrides a newer one."""
     return latest_by(existing.unionByName(incoming), keys, order)

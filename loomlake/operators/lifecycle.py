@@ -14,7 +14,7 @@ def absence_lifecycle(seen: DataFrame, runs: DataFrame, source: str, entity: str
     """
     s = seen.join(runs, [source, run]).groupBy(source, entity).agg(F.min("ordinal").alias("first_run"), F.max("ordinal").alias("last_run"))
     last = runs.groupBy(source).agg(F.max("ordinal").alias("newest"))
-    s = s.join(F.broadcast(last) if state is None else last, source).withColumn("absences", F.col("newest") - F.col("last_run")).drop("newest")
+    s = s.join(last, source).withColumn("absences", F.col("newest") - F.col("last_run")).drop("newest")
     if state is not None:
         s = s.join(state.select(entity, "closed", "expired"), entity, "left")
     else:

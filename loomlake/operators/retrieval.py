@@ -2,13 +2,67 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import ahocorasick
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.text import char_ngrams, words
+from ..storage import cut
+
+
+#: Letters of all terms up to which they are matched by one automaton in every task; beyond, by their rarest grams.
+AUTOMATON_LETTERS = 4_000_000
+
+
+def containment_join(texts: DataFrame, terms: DataFrame, text_id: str, text: str, term_id: str, term: str, gram: int = 3, letters: int = AUTOMATON_LETTERS) -> DataFrame:
+    """(text_id, term_id): every non-empty term that occurs in a text, each pair once a row of texts.
+
+    Terms of up to ``letters`` letters in all (counted before) are sent to the tasks as one Aho-Corasick automaton, which reads each text once. More
+    terms are joined by :func:`containment_by_grams`.
+    """
+    t = terms.where(F.length(term) > 0).select(F.col(term_id).alias("_t"), F.col(term).alias("_term"))
+    if (t.agg(F.sum(F.length("_term") + 1)).first()[0] or 0) > letters:
+        return containment_by_grams(texts, terms, text_id, text, term_id, term, gram)
+    by_term: dict[str, list] = {}
+    for r in t.distinct().collect():
+        by_term.setdefault(r["_term"], []).append(r["_t"])
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    for k, w in enumerate(by_term):
+        automaton.add_word(w, k)
+    automaton.make_automaton()
+    kind, ids = t.schema["_t"].dataType, list(by_term.values())
+    shared = texts.sparkSession.sparkContext.broadcast((automaton, ids))
+    d = texts.select(F.col(text_id).alias("_d"), F.col(text).alias("_text")).where("_d IS NOT NULL AND _text IS NOT NULL")
+    schema = StructType([StructField(text_id, d.schema["_d"].dataType), StructField(term_id, kind)])
+    names, term_type = schema.names, to_arrow_type(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton, ids = shared.value
+        if not ids:
+            return
+        for batch in batches:
+            rows, found, held = [], [], 0
+            for k, body in enumerate(batch.column("_text").to_pylist()):
+                own = [t for n in {n for _, n in automaton.iter(body)} for t in ids[n]]
+                rows.append(np.full(len(own), k))
+                found += own
+                held += len(own)
+                if held > 200_000:
+                    yield pa.RecordBatch.from_arrays([batch.column("_d").take(pa.array(np.concatenate(rows))), pa.array(found, term_type)], names)
+                    rows, found, held = [], [], 0
+            if held:
+                yield pa.RecordBatch.from_arrays([batch.column("_d").take(pa.array(np.concatenate(rows))), pa.array(found, term_type)], names)
 
+    return d.mapInArrow(run, schema)
 
-def containment_join(texts: DataFrame, terms: DataFrame, text_id: str, text: str, term_id: str, term: str, gram: int = 3) -> DataFrame:
+
+def containment_by_grams(texts: DataFrame, terms: DataFrame, text_id: str, text: str, term_id: str, term: str, gram: int = 3) -> DataFrame:
     """(text_id, term_id): every term that occurs in a text.
 
     A theta join rewritten as an equi join: a term is looked up by its rarest character n-gram only, and verified. Terms shorter
@@ -52,13 +106,17 @@ def idf_top_k(hits: DataFrame, terms: DataFrame, n_docs: int, query_id: str, doc
 
 
 def bm25_top_k(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query_text: str, k: int, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """(query_id, doc_id, score, rank): the inverted index keeps query terms only, document lengths are of all terms."""
-    d = docs.select(doc_id, words(F.col(text)).alias("w"))
-    lengths = d.select(doc_id, F.size("w").alias("len"))
-    stats = lengths.agg(F.count("*").alias("n"), F.avg("len").alias("avg")).first()
+    """(query_id, doc_id, score, rank): the inverted index keeps query terms only, document lengths are of all terms.
+
+    Texts are split once: words outside the queries are counted together, so a document has a row for each of its query terms and one more.
+    """
     q = queries.select(query_id, F.explode(F.array_distinct(words(F.col(query_text)))).alias("term"))
-    vocabulary = q.select("term").distinct()
-    tf = d.select(doc_id, F.explode("w").alias("term")).join(vocabulary, "term", "left_semi").groupBy(doc_id, "term").agg(F.count("*").alias("tf"))
+    vocabulary = q.select("term").distinct().withColumn("own", F.col("term"))
+    every = docs.select(doc_id, F.explode_outer(words(F.col(text))).alias("term")).join(vocabulary, "term", "left")
+    tf = cut(every.groupBy(doc_id, "own").agg(F.count("term").alias("tf")))
+    lengths = cut(tf.groupBy(doc_id).agg(F.sum("tf").alias("len")))
+    stats = lengths.agg(F.count("*").alias("n"), F.avg("len").alias("avg")).first()
+    tf = tf.where("own IS NOT NULL").withColumnRenamed("own", "term")
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     idf = df.select("term", F.log(1 + (F.lit(stats["n"]) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("len") / F.lit(stats["avg"] or 1.0))

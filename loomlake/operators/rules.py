@@ -19,12 +19,40 @@ def guard(tree: dict, observations: Column) -> Column:
     return reduce((lambda a, b: a & b) if op == "AND" else (lambda a, b: a | b), parts)
 
 
+def activations(rules: list[dict], observations: Column) -> dict[str, Column]:
+    """Three-valued activation of each rule: its guard and none of the active rules that disable it.
+
+    A disabling rule acts only if it is active itself, and an unknown one leaves its target unknown. A rule without a guard
+    holds. Rules that disable each other in a circle, and unknown targets, are an error.
+    """
+    by_id = {r["id"]: r for r in rules}
+    if unknown := [r["target"] for r in rules if r.get("action") == "DISABLE" and r["target"] not in by_id]:
+        raise ValueError(f"unknown target: {unknown[0]}")
+    done: dict[str, Column] = {}
+
+    def active(i: str, above: tuple[str, ...]) -> Column:
+        if i in above:
+            raise ValueError("rules disable each other in a circle")
+        if i not in done:
+            out = guard(by_id[i]["guard"], observations) if by_id[i].get("guard") else F.lit(True)
+            for r in rules:
+                if r.get("action") == "DISABLE" and r["target"] == i:
+                    out = out & ~active(r["id"], (*above, i))
+            done[i] = out
+        return done[i]
+
+    for i in by_id:
+        active(i, ())
+    return done
+
+
 def evaluate_rules(cases: DataFrame, case_id: str, observations: str, rules: list[dict]) -> DataFrame:
-    """(case_id, rule_id, state): APPLIES, NOT, UNKNOWN, or DISABLED by another rule that applies."""
-    states = {r["id"]: guard(r["guard"], F.col(observations)) for r in rules}
-    off = {r["target"]: r["id"] for r in rules if r.get("action") == "DISABLE"}
+    """(case_id, rule_id, state): APPLIES, NOT, UNKNOWN, or DISABLED where an active rule disables it."""
+    states = activations(rules, F.col(observations))
+    off = {i: [states[r["id"]] for r in rules if r.get("action") == "DISABLE" and r["target"] == i] for i in states}
     said = lambda c: F.when(c, "APPLIES").when(~c, "NOT").otherwise("UNKNOWN")
-    out = [F.struct(F.lit(i).alias("rule_id"), (F.when(F.coalesce(states[off[i]], F.lit(False)), "DISABLED").otherwise(said(c)) if i in off else said(c)).alias("state")) for i, c in states.items()]
+    disabled = lambda i: F.coalesce(reduce(lambda a, b: a | b, off[i]), F.lit(False))
+    out = [F.struct(F.lit(i).alias("rule_id"), (F.when(disabled(i), "DISABLED").otherwise(said(c)) if off[i] else said(c)).alias("state")) for i, c in states.items()]
     return cases.select(case_id, F.explode(F.array(*out)).alias("r")).select(case_id, "r.rule_id", "r.state")
 
 

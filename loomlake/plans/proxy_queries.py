@@ -2,32 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import hashing, temporal, text
 from ..operators import assembly, cohort, demand, evaluate, graph, ledger, lifecycle, quality, retrieval, rules
 from ..sources import documents as documents_
 from ..sources import readers
-
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
-
-
-def query(sql: str | None = None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-def t(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    d = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return d.select(*columns) if columns else d
-
+from .registry import query, t
 
 def cents(c):
     """Money as exact decimal, so that sums don't depend on order."""
@@ -179,12 +161,31 @@ def partition_completeness(spark, sf_dir):
     return quality.contiguous(t(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
 
 
-@query("""WITH p AS (SELECT o_custkey AS k, count(*) AS pages, count(DISTINCT o_orderkey % 7) AS d, min(o_orderkey % 7) AS lo, max(o_orderkey % 7) AS hi, count(*) * 10 AS total FROM orders GROUP BY 1)
-SELECT k, pages, pages AS expected, CASE WHEN d <> pages THEN 'PAGE_REPEATED' WHEN lo <> 1 OR hi <> pages THEN 'PAGE_MISSING' END AS reason FROM p""")
+_PAGES = """SELECT c_custkey AS k, CASE WHEN c_custkey % 13 = 3 AND n = 2 THEN 1 ELSE n END AS page_no, CASE WHEN c_custkey % 13 = 4 AND n = 2 THEN 20 ELSE 10 END AS page_size,
+CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE c_custkey % 37 + 1 END AS declared_total, CASE WHEN c_custkey % 5 = 0 THEN (CASE WHEN c_custkey % 13 = 6 THEN 1 ELSE 0 END) ELSE least(10, c_custkey % 37 + 1 - (n - 1) * 10) - CASE WHEN c_custkey % 13 = 5 THEN 1 ELSE 0 END END AS item_count,
+CASE WHEN c_custkey % 5 = 0 THEN (CASE WHEN c_custkey % 13 = 7 THEN 1 ELSE n - 1 END) ELSE 0 END AS ordinal FROM customer, {n} WHERE n <= CASE WHEN c_custkey % 5 = 0 THEN 2 - (c_custkey % 13 = 8)::INT ELSE ceil((c_custkey % 37 + 1) / 10.0) + (c_custkey % 13 = 9)::INT END"""
+
+
+@query(f"""WITH p AS ({_PAGES.format(n="(SELECT unnest(range(1, 7)) AS n)")}), a AS (SELECT k, count(*) AS pages, list_sort(list(page_no)) AS nos, min(declared_total) AS total, min(page_size) AS lo, max(page_size) AS hi, list_sort(list(ordinal)) AS turns,
+bool_and(item_count = least(page_size, declared_total - (page_no - 1) * page_size) AND ordinal = 0) AS is_full, bool_and(page_no = 1 AND item_count = 0) AS is_empty FROM p GROUP BY 1)
+SELECT k, pages, CASE WHEN total = 0 THEN 2 ELSE ceil(total / lo) END::BIGINT AS expected, CASE WHEN lo <> hi THEN 'UNSTABLE_PAGINATION' WHEN total = 0 THEN (CASE WHEN pages = 2 AND is_empty AND turns = [0, 1] THEN NULL ELSE 'EMPTY_NOT_CONFIRMED' END)
+WHEN nos <> range(1, ceil(total / lo)::BIGINT + 1) THEN 'PAGES_MISSING_OR_REPEATED' WHEN NOT is_full THEN 'PAGE_ROW_COUNT' END AS reason FROM a""")
 def page_completeness(spark, sf_dir):
-    o = t(spark, sf_dir, "orders", F.col("o_custkey").alias("k"), (F.col("o_orderkey") % 7).alias("page_no"), F.lit(10).alias("page_size"), F.lit(10).alias("item_count"))
-    total = o.groupBy("k").agg((F.count("*") * 10).alias("declared_total"))
-    return quality.page_completeness(o.join(total, "k"), ["k"])
+    c = t(spark, sf_dir, "customer", F.col("c_custkey").alias("k"), F.explode(F.sequence(F.lit(1), F.lit(6))).alias("n"))
+    empty, of, odd = F.col("k") % 5 == 0, F.col("k") % 37 + 1, lambda x: F.col("k") % 13 == x
+    c = c.where(F.col("n") <= F.when(empty, 2 - odd(8).cast("int")).otherwise(F.ceil(of / 10) + odd(9).cast("int")))
+    pages = c.select(
+        "k", F.when(odd(3) & (F.col("n") == 2), 1).otherwise(F.col("n")).alias("page_no"), F.when(odd(4) & (F.col("n") == 2), 20).otherwise(10).alias("page_size"), F.when(empty, 0).otherwise(of).alias("declared_total"),
+        F.when(empty, odd(6).cast("long")).otherwise(F.least(F.lit(10), of - (F.col("n") - 1) * 10) - odd(5).cast("int")).alias("item_count"), F.when(empty, F.when(odd(7), 1).otherwise(F.col("n") - 1)).otherwise(0).alias("ordinal"),
+    )
+    return quality.page_completeness(pages, ["k"], ordinal="ordinal")
+
+
+@query("""SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'DETAIL_ONLY' ELSE 'LIST_ONLY' END AS side FROM (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 11 <> 0) a
+FULL JOIN (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 7 <> 0) b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL""")
+def list_detail_identities(spark, sf_dir):
+    o = t(spark, sf_dir, "orders", F.col("o_orderkey").alias("k"))
+    return quality.list_detail_mismatch(o.where("k % 11 <> 0"), o.where("k % 7 <> 0"), "k")
 
 
 @query("""SELECT 'NO_CUSTOMER' AS issue, o_orderkey::VARCHAR AS location FROM orders o WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)
@@ -409,7 +410,7 @@ def global_ratio(spark, sf_dir):
     return t(spark, sf_dir, "orders").agg(F.count_if(F.col("o_orderstatus") == "F").alias("closed"), F.count("*").alias("n")).where("n > 0").select("closed", F.round(F.try_divide("closed", "n"), 6).alias("share"))
 
 
-@query("SELECT a.part_id AS part_id, b.event_id FROM (SELECT l_orderkey * 10 + l_linenumber AS part_id, l_suppkey AS k, (l_partkey % 500) AS s, (l_partkey % 500) + l_linenumber * 3 AS e FROM lineitem WHERE l_orderkey < 2000) a JOIN (SELECT event_id, user_id AS k, event_id % 500 AS s, event_id % 500 + 5 AS e FROM events) b ON a.k = b.k AND a.s < b.e AND b.s < a.e")
+@query("SELECT a.part_id AS part_id, b.event_id FROM (SELECT l_orderkey * 10 + l_linenumber AS part_id, l_suppkey AS k, (l_partkey % 500) AS s, (l_partkey % 500) + l_linenumber * 3 AS e FROM lineitem) a JOIN (SELECT event_id, user_id AS k, event_id % 500 AS s, event_id % 500 + 5 AS e FROM events) b ON a.k = b.k AND a.s < b.e AND b.s < a.e")
 def range_overlap_join(spark, sf_dir):
     a = t(spark, sf_dir, "lineitem").selectExpr("l_orderkey * 10 + l_linenumber AS part_id", "l_suppkey AS k", "l_partkey % 500 AS s", "l_partkey % 500 + l_linenumber * 3 AS e")
     b = t(spark, sf_dir, "events").selectExpr("event_id", "user_id AS k", "event_id % 500 AS s", "event_id % 500 + 5 AS e")
@@ -458,16 +459,15 @@ def eval_precision_recall(spark, sf_dir):
     return evaluate.precision_recall(d, F.col("n_chars") > 1000, F.col("quality") == 1, ["lang"])
 
 
-_TERMS = "SELECT DISTINCT item_id * 100 + i AS term_id, split_part(text, ' ', i) AS term FROM benchmark, range(2, 5) r(i) WHERE length(split_part(text, ' ', i)) BETWEEN 5 AND 40"
-
-
 def _terms(spark, sf_dir):
     """Every distinct word of every text; the id is of the item and the word's place among its distinct words."""
     b = t(spark, sf_dir, "benchmark").select("item_id", F.posexplode(F.array_distinct(F.split("text", "\\s+"))).alias("i", "term"))
     return b.where("term <> ''").select((F.col("item_id") * 1_000_000 + F.col("i")).alias("term_id"), "term")
 
 
-@query(f"WITH t AS ({_TERMS}) SELECT doc_id, term_id FROM documents, t WHERE contains(text, term)")
+@query("""WITH b AS (SELECT item_id, list_distinct(string_split_regex(text, '\\s+')) AS l, string_split_regex(text, '\\s+') AS w FROM benchmark),
+o AS (SELECT item_id, term, min(i) AS i FROM (SELECT item_id, unnest(w) AS term, generate_subscripts(w, 1) AS i FROM b) GROUP BY ALL), x AS (SELECT item_id * 1000000 + row_number() OVER (PARTITION BY item_id ORDER BY i) - 1 AS term_id, term FROM o),
+f AS (SELECT doc_id, term FROM documents, (SELECT DISTINCT term FROM x WHERE term <> '') WHERE contains(text, term)) SELECT doc_id, term_id FROM f JOIN x USING (term)""")
 def containment_join(spark, sf_dir):
     terms = _terms(spark, sf_dir)
     found = retrieval.containment_join(t(spark, sf_dir, "documents", "doc_id", "text"), terms.select("term").distinct(), "doc_id", "text", "term", "term", gram=4)
@@ -487,9 +487,15 @@ def bm25_topk(spark, sf_dir):
     return r.select("item_id", "doc_id", F.round("score", 4).alias("score"))
 
 
-@query(f"""WITH q AS (SELECT DISTINCT item_id, unnest({_WORDS.format('text')}) AS term FROM benchmark), t AS (SELECT * FROM q WHERE length(term) BETWEEN 6 AND 40 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY length(term) DESC, term) <= 20),
-h AS (SELECT DISTINCT term, doc_id FROM (SELECT doc_id, unnest({_WORDS.format('text')}) AS term FROM documents) WHERE term IN (SELECT term FROM t)), df AS (SELECT term, count(*) AS df FROM h GROUP BY 1),
-s AS (SELECT item_id, doc_id, CAST(round(CAST(sum(ln(1 + (SELECT count(*) FROM documents) / df::DOUBLE)) AS DECIMAL(28,9)), 3) AS DOUBLE) AS score FROM t JOIN h USING (term) JOIN df USING (term) GROUP BY 1, 2)
+_IDF = "CAST(round(CAST(sum({}) AS DECIMAL(28,9)), 3) AS DOUBLE)"
+
+
+@query(f"""WITH w AS (SELECT DISTINCT item_id, unnest({_WORDS.format('text')}) AS word FROM benchmark), v AS (SELECT * FROM w WHERE length(word) BETWEEN 2 AND 40),
+g AS (SELECT item_id, word AS term, 1.0 AS weight FROM v UNION ALL SELECT item_id, unnest([word[i:i + 2] for i in range(1, length(word) - 1)]), 0.65 FROM v WHERE length(word) > 3 UNION ALL SELECT item_id, unnest([word[i:i + 1] for i in range(1, length(word))]), 0.35 FROM v WHERE length(word) > 2),
+m AS (SELECT item_id, term, max(weight) AS weight FROM g GROUP BY ALL), t AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY weight DESC, length(term) DESC, term) <= 480),
+d AS (SELECT doc_id, lower(coalesce(text, '')) AS body, lower(split_part(coalesce(text, ''), chr(10), 1)) AS name, lower(coalesce(source, '')) AS src FROM documents),
+h AS (SELECT term, doc_id, CASE WHEN contains(name, term) THEN 8.0 WHEN contains(src, term) THEN 4.0 ELSE 1.0 END AS loc FROM (SELECT DISTINCT term FROM t), d WHERE contains(body || ' ' || src, term)),
+df AS (SELECT term, count(*) AS df FROM h GROUP BY 1), s AS (SELECT item_id, doc_id, {_IDF.format("weight::DOUBLE * loc::DOUBLE * ln(1 + (SELECT count(*) FROM documents) / df::DOUBLE)")} AS score FROM t JOIN h USING (term) JOIN df USING (term) GROUP BY 1, 2)
 SELECT item_id, doc_id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s) WHERE rank <= 5""")
 def ngram_idf_topk(spark, sf_dir):
     # a document's first line stands for the catalogue's name, its source for the occupation, the rest for the definition
@@ -532,13 +538,16 @@ def flat_graph_collapse(spark, sf_dir):
     return graph.collapse(e, b)
 
 
-@query("SELECT event_id, 'a.k' AS path, json_extract_string(props, '$.k') AS value FROM events")
+@query("""SELECT event_id, 'a.k' AS path, 'number' AS kind, json_extract_string(props, '$.k') AS value FROM events UNION ALL SELECT event_id, 'deep' || repeat('.x', (event_id % 9)::INT), 'string', '{' || event_type FROM events
+UNION ALL SELECT event_id, 'k~2~0', 'boolean', CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END FROM events UNION ALL SELECT event_id, 'l', 'array', '[' || event_id || ',1]' FROM events UNION ALL SELECT event_id, 'm', 'invalid', '[' || event_id || ',"1"]' FROM events WHERE event_id % 3 = 0""")
 def flat_properties(spark, sf_dir):
-    e = t(spark, sf_dir, "events").select("event_id", F.concat(F.lit('{"a":'), "props", F.lit("}")).alias("j"))
+    deep = F.concat(F.lit('"deep":'), F.repeat(F.lit('{"x":'), (F.col("event_id") % 9).cast("int")), F.lit('"{'), F.col("event_type"), F.lit('"'), F.repeat(F.lit("}"), (F.col("event_id") % 9).cast("int")))
+    plain = F.concat(F.lit('"k.~":'), (F.col("event_id") % 2 == 0).cast("string"), F.lit(',"none":null,"l":['), "event_id", F.lit(",1]"), F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(',"m":['), "event_id", F.lit(',"1"]'))).otherwise(""))
+    e = t(spark, sf_dir, "events").select("event_id", F.concat(F.lit('{"a":'), "props", F.lit(","), deep, F.lit(","), plain, F.lit("}")).alias("j"))
     return graph.flat_properties(e, "event_id", "j")
 
 
-@query("""WITH RECURSIVE p AS (SELECT p_partkey AS node, p_partkey // 3 AS parent FROM part WHERE p_partkey > 0 AND p_partkey < 500), a AS (SELECT node, parent AS ancestor, 1 AS steps FROM p UNION ALL SELECT a.node, p.parent, steps + 1 FROM a JOIN p ON p.node = a.ancestor)
+@query("""WITH RECURSIVE p AS (SELECT p_partkey AS node, p_partkey // 3 AS parent FROM part WHERE p_partkey > 0), a AS (SELECT node, parent AS ancestor, 1 AS steps FROM p UNION ALL SELECT a.node, p.parent, steps + 1 FROM a JOIN p ON p.node = a.ancestor)
 SELECT node, ancestor, steps::BIGINT AS steps FROM a""")
 def taxonomy_prefix_tree(spark, sf_dir):
     p = t(spark, sf_dir, "part").where("p_partkey > 0").selectExpr("p_partkey AS child", "p_partkey div 3 AS parent")
@@ -570,7 +579,7 @@ def citation_validator(spark, sf_dir):
     return rules.citation_issues(b.select("item_id", codes.alias("codes"), F.array(F.lit("a"), F.lit("b"), F.lit("c")).alias("shortlist"), quotes.alias("quotes"), F.col("text").alias("source")), "item_id")
 
 
-@query("""WITH s AS (SELECT l_orderkey AS k, l_linenumber::BIGINT AS id, l_partkey % 100 AS a, l_partkey % 100 + 10 AS b FROM lineitem WHERE l_orderkey < 3000)
+@query("""WITH s AS (SELECT l_orderkey AS k, l_linenumber::BIGINT AS id, l_partkey % 100 AS a, l_partkey % 100 + 10 AS b FROM lineitem)
 SELECT k, id FROM (SELECT k, id, a, max(b) OVER (PARTITION BY k ORDER BY a, b, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS u FROM s) WHERE a < u""")
 def overlapping_passages(spark, sf_dir):
     s = t(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS k", "CAST(l_linenumber AS bigint) AS id", "l_partkey % 100 AS a", "l_partkey % 100 + 10 AS b")
@@ -594,3 +603,37 @@ def day_deadline(spark, sf_dir):
     raw = F.when(F.col("o_orderkey") % 4 == 0, "20260230").otherwise(F.concat(F.lit(" "), F.date_format("o_orderdate", "yyyyMMdd"), F.lit(" ")))
     d = t(spark, sf_dir, "orders").select("o_orderkey", text.day(raw).alias("d"))
     return d.select("o_orderkey", F.col("d").cast("string").alias("day"), F.date_format(temporal.deadline(F.col("d")), "yyyy-MM-dd HH:mm:ss").alias("deadline_utc"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 8 WHEN 0 THEN 'DAY' WHEN 1 THEN 'DAY' WHEN 2 THEN 'INSTANT' WHEN 3 THEN 'INSTANT' END AS kind, CASE WHEN o_orderkey % 8 < 2 THEN CAST(o_orderdate::DATE AS VARCHAR) END AS day,
+CASE WHEN o_orderkey % 8 = 2 THEN strftime(o_orderdate::DATE, '%Y-%m-%d 00:00:00') WHEN o_orderkey % 8 = 3 THEN strftime(o_orderdate::DATE + INTERVAL 1 HOUR + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S') END AS instant FROM orders WHERE o_orderkey % 8 < 4
+UNION ALL SELECT o_orderkey, CASE WHEN o_orderkey % 8 = 7 THEN NULL ELSE 'INVALID' END, NULL, NULL FROM orders WHERE o_orderkey % 8 >= 4""")
+def date_kinds(spark, sf_dir):
+    day, n = F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderkey") % 8
+    raw = F.when(n == 0, day).when(n == 1, F.concat(day, F.lit("T00:00:00.000Z"))).when(n == 2, F.concat(day, F.lit("T00:00:00+00:00"))).when(n == 3, F.concat(day, F.lit("T10:30:00+09:00"))).when(n == 4, F.concat(F.substring(day, 1, 8), F.lit("32"))).when(n == 5, F.substring(day, 1, 4)).when(n == 6, F.concat(day, F.lit(" 10:00:00")))
+    o = t(spark, sf_dir, "orders").select("o_orderkey", raw.alias("r"))
+    return o.select("o_orderkey", temporal.date_kind(F.col("r")).alias("kind"), temporal.stated_day(F.col("r")).cast("string").alias("day"), F.date_format(temporal.stated_instant(F.col("r")), "yyyy-MM-dd HH:mm:ss").alias("instant"))
+
+
+@query("""WITH o AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS a, CASE c_custkey // 3 % 3 WHEN 0 THEN true WHEN 1 THEN false END AS b, CASE c_custkey // 9 % 3 WHEN 0 THEN true WHEN 1 THEN false END AS c FROM customer),
+r AS (SELECT c_custkey, c AS r3, b AND NOT c AS r2, a AS r4 FROM o), q AS (SELECT *, true AND NOT r2 AND NOT r4 AS r1 FROM r),
+v AS (SELECT c_custkey, unnest(['r1', 'r2', 'r3', 'r4']) AS rule_id, unnest([r1, r2, r3, r4]) AS active, unnest([coalesce(r2 OR r4, false), coalesce(r3, false), false, false]) AS off FROM q)
+SELECT c_custkey, rule_id, CASE WHEN off THEN 'DISABLED' WHEN active THEN 'APPLIES' WHEN NOT active THEN 'NOT' ELSE 'UNKNOWN' END AS state FROM v""")
+def chained_rules(spark, sf_dir):
+    at = lambda d: F.when(F.floor(F.col("c_custkey") / d) % 3 == 0, True).when(F.floor(F.col("c_custkey") / d) % 3 == 1, False)
+    c = t(spark, sf_dir, "customer").select("c_custkey", F.create_map(F.lit("a"), at(1), F.lit("b"), at(3), F.lit("c"), at(9)).alias("o"))
+    off = lambda i, target, name: {"id": i, "action": "DISABLE", "target": target, "guard": {"op": "TEST", "name": name}}
+    return rules.evaluate_rules(c, "c_custkey", "o", [{"id": "r1"}, off("r2", "r1", "b"), off("r3", "r2", "c"), off("r4", "r1", "a")])
+
+
+@query("""SELECT o_custkey AS k, count(DISTINCT o_orderstatus) AS contents FROM orders WHERE o_orderkey % 5 < 2 GROUP BY 1 HAVING count(DISTINCT o_orderstatus) > 1""")
+def batch_conflict_keys(spark, sf_dir):
+    o = t(spark, sf_dir, "orders").where("o_orderkey % 5 < 2").select(F.col("o_custkey").alias("k"), "o_orderstatus")
+    return ledger.batch_conflicts(o, ["k"], "o_orderstatus")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 4 = 3 THEN NULL ELSE c_custkey * 7 END AS n FROM customer")
+def digits_of_any_script(spark, sf_dir):
+    k = (F.col("c_custkey") * 7).cast("string")
+    raw = F.when(F.col("c_custkey") % 4 == 0, k).when(F.col("c_custkey") % 4 == 1, F.translate(k, "0123456789", "٠١٢٣٤٥٦٧٨٩")).when(F.col("c_custkey") % 4 == 2, F.concat(F.lit("\u3000"), F.translate(k, "0123456789", "０１２３４５６７８９"))).otherwise(F.concat(k, F.lit("x")))
+    return t(spark, sf_dir, "customer").select("c_custkey", text.source_integer(raw).alias("n"))

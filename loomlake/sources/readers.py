@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 
 def raw_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, sha256, byte_length, content)."""
+    """(path, sha256, byte_length, content); Spark lists no empty files."""
     d = spark.read.format("binaryFile").load(path)
     return d.select("path", F.sha2("content", 256).alias("sha256"), F.length("content").cast("long").alias("byte_length"), "content")
 

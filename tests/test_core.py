@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from loomlake.functions import hashing, temporal, text
 from loomlake.operators import assembly, cohort, demand, graph, ledger, quality, retrieval, rules
-from loomlake.plans.proxy_queries import ORACLE_SQL, QUERIES
-from loomlake.sources import documents, readers, sinks
+from loomlake.plans import ORACLE_SQL, QUERIES
+from loomlake.sources import readers, sinks
 from loomlake.streaming import ndjson
 
 SF = "/root/testdata/sf0.001"
@@ -45,8 +45,12 @@ def test_text_functions(spark):
     got = d.select(text.source_text(F.col("t")), text.day(F.col("d")).cast("string"), text.source_integer(F.col("i")), text.fold_space(F.col("t"))).collect()
     assert [tuple(r) for r in got] == [("a　b", None, 12, "a b"), (None, "2024-02-29", None, ""), (None, None, None, None)]
     assert spark.createDataFrame([("é\r\nx",), (None,)], "t string").select(text.nfc("t")).collect()[0][0] == "é\nx"
-    k = spark.createDataFrame([("2024-01-02",), ("2024-01-02T00:00:00Z",), ("2024-01-02T10:00:00Z",), ("x",), (None,)], "t string")
-    assert [r[0] for r in k.select(temporal.date_kind(F.col("t"))).collect()] == ["DAY", "DAY", "INSTANT", "INVALID", None]
+    kinds = {"2024-01-02": "DAY", "2024-01-02T00:00:00Z": "DAY", "2024-01-02T00:00:00.000Z": "DAY", "2024-01-02T10:00:00Z": "INSTANT", "2024-01-02T00:00:00+00:00": "INSTANT", "2024-01-02T10:00:00.123+09:00": "INSTANT"}
+    kinds |= dict.fromkeys(["x", "2024", "2024-01-02 10:00:00", "2024-02-30", "2024-02-30T10:00:00Z", "2024-01-02T24:00:00Z", "2024-01-02T10:60:00Z", "2024-01-02T10:00:00", "", "2024-01-02\n"], "INVALID") | {None: None}
+    k = spark.createDataFrame([(x,) for x in kinds], "t string")
+    assert {r["t"]: r["k"] for r in k.select("t", temporal.date_kind(F.col("t")).alias("k")).collect()} == kinds
+    n = spark.createDataFrame([("٣٤",), ("１２",), ("१",), ("9" * 19,), ("-1",), ("1.0",), ("²",)], "t string")
+    assert [r[0] for r in n.select(text.source_integer(F.col("t"))).collect()] == [34, 12, 1, None, None, None, None]
     assert spark.range(1).select(text.percent_encode(F.lit("a b/é"))).first()[0] == "a%20b%2F%C3%A9"
 
 
@@ -60,7 +64,12 @@ def test_page_completeness_cases(spark):
     schema = "k string, page_no int, page_size int, declared_total int, item_count int"
     d = spark.createDataFrame([("ok", 1, 10, 12, 10), ("ok", 2, 10, 12, 2), ("gap", 1, 10, 25, 10), ("gap", 3, 10, 25, 15), ("zero", 1, 10, 0, 0), ("zero", 1, 10, 0, 0), ("once", 1, 10, 0, 0), ("moved", 1, 10, 5, 5), ("moved", 1, 10, 6, 5), ("short", 1, 10, 5, 4)], schema)
     got = {r["k"]: r["reason"] for r in quality.page_completeness(d, ["k"]).collect()}
-    assert got == {"ok": None, "gap": "PAGE_MISSING", "zero": None, "once": "EMPTY_NOT_CONFIRMED", "moved": "TOTAL_CHANGED", "short": "ROW_COUNT_MISMATCH"}
+    assert got == {"ok": None, "gap": "PAGES_MISSING_OR_REPEATED", "zero": None, "once": "EMPTY_NOT_CONFIRMED", "moved": "UNSTABLE_PAGINATION", "short": "PAGE_ROW_COUNT"}
+    schema += ", ordinal int, ids array<string>, detail boolean"
+    full = [("size", 1, 10, 12, 10, 0, ["a"], False), ("size", 2, 12, 12, 2, 0, ["b"], False), ("uneven", 1, 10, 20, 5, 0, [], False), ("uneven", 2, 10, 20, 15, 0, [], False), ("third", 1, 10, 0, 0, 0, [], False), ("third", 1, 10, 0, 0, 1, [], False), ("third", 1, 10, 0, 0, 2, [], False)]
+    full += [("turns", 1, 10, 5, 5, 1, [], False), ("ids", 1, 10, 2, 2, 0, ["x", "x"], False), ("detail", 1, 1, 1, 1, 0, ["d"], True), ("details", 1, 1, 1, 2, 0, ["e", "f"], True), ("ok", 1, 10, 1, 1, 0, ["g"], False), ("late", 2, 10, 0, 0, 0, [], False), ("late", 1, 10, 0, 0, 1, [], False)]
+    got = {r["k"]: r["reason"] for r in quality.page_completeness(spark.createDataFrame(full, schema), ["k"], ordinal="ordinal", identities="ids", detail="detail").collect()}
+    assert got == {"size": "UNSTABLE_PAGINATION", "uneven": "PAGE_ROW_COUNT", "third": "EMPTY_NOT_CONFIRMED", "turns": "PAGE_ROW_COUNT", "ids": "DUPLICATE_IDENTITY", "detail": None, "details": "DETAIL_COUNT", "ok": None, "late": "EMPTY_NOT_CONFIRMED"}
 
 
 def test_merge_keeps_the_list_where_detail_is_null(spark):
@@ -79,15 +88,42 @@ def test_unknown_observations_stay_unknown(spark):
 def test_reviewer_is_not_the_proposer(spark):
     p = spark.createDataFrame([("k", 1, 1, "ann")], "key string, proposal_id int, proposal_no int, proposer string")
     d = spark.createDataFrame([(1, 1, "ACCEPT", "ann")], "proposal_id int, decision_id int, decision string, reviewer string")
-    assert cohort.review_status(p, d, "key", 9, 9).count() == 0
+    assert cohort.review_status(p, d, "key", 9, 9).first()["status"] == "PENDING"
+    d = spark.createDataFrame([(1, 1, "ACCEPT", "bob"), (1, 2, "NOTE", "ann")], "proposal_id int, decision_id int, decision string, reviewer string")
+    assert cohort.review_status(p, d, "key", 9, 9).first()["status"] == "ACCEPTED"
     assert cohort.review_status(p, d, "key", 9, 0).first()["status"] == "PENDING"
 
 
+def test_rules_that_disable_rules(spark):
+    d = spark.createDataFrame([(1, {"x": True, "y": True}), (2, {"x": True, "y": False}), (3, {"x": None, "y": True}), (4, {"x": False, "y": False})], "c int, o map<string,boolean>")
+    off = lambda i, target, name: {"id": i, "action": "DISABLE", "target": target, "guard": {"op": "TEST", "name": name}}
+    state = lambda r: {(x["c"], x["rule_id"]): x["state"] for x in rules.evaluate_rules(d, "c", "o", r).collect()}
+    two = state([{"id": "r"}, off("p", "r", "x"), off("q", "r", "y")])  # either disabler counts, an unknown one leaves it open
+    assert [two[c, "r"] for c in (1, 2, 3, 4)] == ["DISABLED", "DISABLED", "DISABLED", "APPLIES"]
+    chain = state([{"id": "r"}, off("p", "r", "x"), off("q", "p", "y")])  # a disabled rule doesn't disable
+    assert [chain[c, "r"] for c in (1, 2, 3, 4)] == ["APPLIES", "DISABLED", "APPLIES", "APPLIES"]
+    assert state([{"id": "r"}, off("p", "r", "x")])[3, "r"] == "UNKNOWN"
+    for bad in ([{"id": "r"}, off("p", "none", "x")], [off("p", "q", "x"), off("q", "p", "y")]):
+        with pytest.raises(ValueError):
+            rules.evaluate_rules(d, "c", "o", bad)
+
+
+def test_containment_by_automaton_and_by_grams(spark):
+    texts = spark.createDataFrame([(1, "a数据库bb"), (2, None), (None, "bb"), (3, "")], "d int, t string")
+    terms = spark.createDataFrame([("x", "数据"), ("y", "b"), ("x", "数据"), ("z", "数据"), ("w", None), ("v", "c")], "i string, w string")
+    want = {(1, "x"), (1, "y"), (1, "z")}
+    for letters in (retrieval.AUTOMATON_LETTERS, 0):
+        got = [tuple(r) for r in retrieval.containment_join(texts, terms, "d", "t", "i", "w", letters=letters).collect()]
+        assert set(got) == want and len(got) == 3
+    assert retrieval.containment_join(texts, terms.limit(0), "d", "t", "i", "w").count() == 0
+
+
 def test_containment_of_short_terms_and_no_pairs(spark):
     texts = spark.createDataFrame([(1, "abcdef"), (2, "xyz"), (3, None), (4, "")], "d int, t string")
     terms = spark.createDataFrame([(1, "a"), (2, "cdef"), (3, "zz"), (4, ""), (5, "yz")], "i int, w string")
     assert {tuple(r) for r in retrieval.containment_join(texts, terms, "d", "t", "i", "w").collect()} == {(1, 1), (1, 2), (2, 5)}
-    plan = retrieval.containment_join(texts, terms, "d", "t", "i", "w")._jdf.queryExecution().toString()
+    assert {tuple(r) for r in retrieval.containment_by_grams(texts, terms, "d", "t", "i", "w").collect()} == {(1, 1), (1, 2), (2, 5)}
+    plan = retrieval.containment_by_grams(texts, terms, "d", "t", "i", "w")._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
 
 
@@ -127,26 +163,16 @@ def test_json_envelopes_and_rejects(spark):
     assert sorted(r["error_code"] for r in bad.collect()) == ["BLANK", "INVALID_JSON", "NOT_AN_OBJECT"]
 
 
-def test_xml_and_hwpx(spark, tmp_path):
-    import zipfile
-
-    d = spark.createDataFrame([(1, "<r><i><a>x</a></i><i><a>y</a><b>z</b></i></r>"), (2, "<r/>")], "k int, body string")
-    assert [tuple(r) for r in documents.xml_records(d, "body", "i", ["a", "b"]).collect()] == [(1, 1, "x", None), (1, 2, "y", "z")]
-    body = '<s xmlns:h="u"><h:p><h:run><h:t>one</h:t></h:run></h:p><h:tbl><h:tc><h:p><h:run><h:t>cell</h:t></h:run></h:p></h:tc></h:tbl></s>'
-    with zipfile.ZipFile(tmp_path / "d.hwpx", "w") as z:
-        z.writestr("Contents/section0.xml", body)
-    (tmp_path / "bad.hwpx").write_bytes(b"no package")
-    got = {(r["kind"], r["text"], r["error_code"]) for r in documents.hwpx_blocks(readers.raw_files(spark, str(tmp_path))).collect()}
-    assert got == {("paragraph", "one", None), ("cell", "cell", None), (None, None, "PACKAGE")}
-
-
 def test_append_new_is_idempotent(spark, tmp_path):
     d = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "k int, c string")
     path = str(tmp_path / "t")
     assert sinks.append_new(d, path, ["k"], "c") == 2
     assert sinks.append_new(d, path, ["k"], "c") == 0
-    with pytest.raises(ValueError):
+    with pytest.raises(sinks.Conflict):
         sinks.append_new(spark.createDataFrame([(1, "other")], "k int, c string"), path, ["k"], "c")
+    for fresh in (path, str(tmp_path / "new")):  # two contents of a new key
+        with pytest.raises(sinks.Conflict):
+            sinks.append_new(spark.createDataFrame([(7, "a"), (7, None)], "k int, c string"), fresh, ["k"], "c")
     assert spark.read.parquet(path).count() == 2
 
 
@@ -263,8 +289,8 @@ def test_taxonomies_json_and_chains_have_no_depth_bound(spark):
     assert got == {(i, j): (j - i - 1) % 20 + 1 for i in range(1, 21) for j in range(1, 21)} | {(i, j): i - j for i in range(102, 141) for j in range(101, i)}
     items = spark.createDataFrame([(i, 2) for i in range(1, 21)], "code long, level int")
     assert {r["code"] for r in graph.taxonomy_issues(items, links).where("issue = 'CYCLE'").collect()} == set(range(1, 21))
-    d = spark.createDataFrame([(1, '{"a":{"b":{"c":{"d":{"e":{"f":7}}}}},"x":1}'), (2, "{}"), (3, None)], "id int, j string")
-    assert {tuple(r) for r in graph.flat_properties(d, "id", "j").collect()} == {(1, "x", "1"), (1, "a.b.c.d.e.f", "7")}
-    assert graph.flat_properties(d.where("id > 1"), "id", "j").count() == 0
+    d = spark.createDataFrame([(1, '{"a":{"b":{"c":{"d":{"e":{"f":7}}}}},"x":1.5,"s":"{1","k":{"k":null}}'), (2, "{}"), (3, None), (4, "[1]"), (5, "{")], "k int, j string")
+    assert {tuple(r) for r in graph.flat_properties(d, "k", "j").collect()} == {(1, "x", "number", "1.5"), (1, "a.b.c.d.e.f", "number", "7"), (1, "s", "string", "{1")}
+    assert graph.flat_properties(d.where("k > 1"), "k", "j").count() == 0
     chain = hashing.hash_chain(spark.range(150).selectExpr("0 AS k", "id", "CAST(id AS string) AS v"), "k", "id", "v")
     assert chain.select("chain").distinct().count() == 150
