@@ -6,7 +6,7 @@ non-ASCII characters are all >= 0x80, so the word classes used here can be decid
 
 from __future__ import annotations
 
-import tempfile
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -15,37 +15,25 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-CHUNK_BYTES = 2_000_000
-
+from ..storage import cut, discard, remove, shared_dir  # noqa: F401
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+CHUNK_BYTES = 2_000_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if path is None:
-        path = getattr(spark.sparkContext, "_loomlake_dir", None)
-        if path is None:
-            path = spark.sparkContext._loomlake_dir = "file://" + tempfile.mkdtemp(prefix="loomlake-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+#: Bounds of Arrow batches that these operators ask for where the session has Spark's defaults: name, default, bound.
+BATCHES = (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "16777216b"))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Compute once, keep in the shared folder and forget the lineage; survives lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def modest(spark: SparkSession) -> None:
+    """Batches of whole texts would take much memory outside of the heap, on both sides of the pipe to Python."""
+    for name, default, bound in BATCHES:
+        if spark.conf.get(name) == default:
+            spark.conf.set(name, bound)
 
 
-def discard(*done: DataFrame) -> None:
-    """Delete what :func:`cut` wrote for tables that nothing will read again."""
-    for df in done:
-        file = df._jdf.queryExecution().logical().rdd().getCheckpointFile().get()
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    modest(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
@@ -55,6 +43,25 @@ def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _trim = None
+
+
+def give_back() -> None:
+    """Free memory of a Python worker, which lives on, goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; at the end :func:`give_back`."""
+    yield from batches
+    give_back()
+
+
 def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``limit`` bytes of text each, one row at least: bounded working memory."""
     if not batch.num_rows:

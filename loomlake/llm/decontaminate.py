@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, chunks, stored, table, text_bytes, word_hashes, word_spans
+from .common import ALNUM, LOWER, chunks, released, stored, table, text_bytes, word_hashes, word_spans
 
 WINDOW = 10
 BLOCK_PHRASES = 200_000
@@ -69,7 +69,7 @@ def positional_index(docs: DataFrame) -> DataFrame:
                 )
                 shard += 1
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, INDEX_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda b: released(run(b)), INDEX_SCHEMA)
 
 
 def bytes_of(column: pa.Array, k: int, kind: str) -> np.ndarray:
@@ -239,7 +239,7 @@ def search(index: DataFrame, block: PhraseBlock) -> DataFrame:
                     ["shard", "ordinal", "doc_id", "n_words", "n_hit", "items", "starts", "stops"],
                 )
 
-    return index.mapInArrow(run, FOUND)
+    return index.mapInArrow(lambda b: released(run(b)), FOUND)
 
 
 def proximity(index: DataFrame, words: list[str], distance: int) -> DataFrame:
@@ -313,3 +313,14 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLE = f"""
+WITH i AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_WORDS} AS w FROM benchmark), d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+t AS (SELECT DISTINCT item, least(len(w), {WINDOW}) AS size, array_to_string(w[k:k + {WINDOW - 1}], ' ') AS g FROM (SELECT item, w, unnest(range(1, greatest(len(w) - {WINDOW - 1}, 1) + 1)) AS k FROM i WHERE len(w) > 0)),
+z AS (SELECT DISTINCT size FROM t), g AS (SELECT doc_id, size, k, array_to_string(w[k:k + size - 1], ' ') AS g FROM (SELECT doc_id, size, w, unnest(range(1, len(w) - size + 2)) AS k FROM d, z WHERE len(w) >= size)),
+h AS (SELECT doc_id, k, size, item FROM g JOIN t USING (size, g)), n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + size)) AS p FROM h) GROUP BY 1),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, table
+from .common import chunks, give_back, released, table
 
 WINDOW = 512
 TRAIN_CHARS, TRAIN_ROWS, TRAIN_TEXT = 50_000, 200, 20_000
@@ -71,15 +71,19 @@ def suffix_automaton(seq: list[int]) -> list[dict[int, int]]:
 class Transitions:
     """Transitions of all states in one array: state s goes by letter c to ``target[base[s] + c]`` if ``owner`` there is s."""
 
-    def __init__(self, rows: list[dict[int, int]], letters: int):
-        total = sum(map(len, rows))
+    def __init__(self, states: int, frm: np.ndarray, letter: np.ndarray, to: np.ndarray, letters: int):
+        """Of transitions (frm, letter, to), sorted by frm."""
+        total = len(frm)
+        first = np.searchsorted(frm, np.arange(states + 1))
+        degree = np.diff(first)
         span = total * 8 // 5 + 64
         slots = np.zeros(span + letters, bool)
-        self.base = np.zeros(len(rows), np.int32)
-        places = np.random.default_rng(len(rows))
+        self.base = np.zeros(states, np.int32)
+        places = np.random.default_rng(states)
         # states of several letters at a random place where they fit, those of one letter into the holes
-        for s in sorted((k for k, r in enumerate(rows) if len(r) > 1), key=lambda k: -len(rows[k])):
-            own, tries = np.fromiter(rows[s], np.int64), 0
+        many = np.flatnonzero(degree > 1)
+        for s in many[np.argsort(-degree[many], kind="stable")].tolist():
+            own, tries = letter[first[s] : first[s + 1]], 0
             while True:
                 at = places.integers(0, span, 16)
                 fits = np.flatnonzero(~slots[at[:, None] + own[None, :]].any(axis=1))
@@ -91,21 +95,15 @@ class Transitions:
                     span += span // 4
             self.base[s] = at[fits[0]]
             slots[self.base[s] + own] = True
-        ones = np.array([k for k, r in enumerate(rows) if len(r) == 1], np.int64)
-        only = np.array([next(iter(rows[k])) for k in ones], np.int64)
+        ones = np.flatnonzero(degree == 1)
         holes = np.flatnonzero(~slots[letters:])[: len(ones)] + letters
         if len(holes) < len(ones):
             holes = np.concatenate([holes, np.arange(len(slots), len(slots) + len(ones) - len(holes))])
-        self.base[ones] = holes - only
-        size = max(len(slots), int(holes.max(initial=0)) + 1)
+        self.base[ones] = holes - letter[first[ones]]
+        at = self.base[frm] + letter
+        size = int(at.max(initial=0)) + letters + 1  # any state may be asked for any letter
         self.owner, self.target = np.full(size, -1, np.int32), np.zeros(size, np.int32)
-        for s, r in enumerate(rows):
-            if r:
-                at = self.base[s] + np.fromiter(r, np.int64)
-                self.owner[at], self.target[at] = s, np.fromiter(r.values(), np.int64)
-        last = int(np.flatnonzero(self.owner >= 0).max(initial=0)) + letters + 1  # any state may be asked for any letter
-        pad = max(0, last - size)
-        self.owner, self.target = np.pad(self.owner, (0, pad), constant_values=-1)[:last], np.pad(self.target, (0, pad))[:last]
+        self.owner[at], self.target[at] = frm, to
 
     def __call__(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
         """The next states, -1 where there is none."""
@@ -132,7 +130,7 @@ class CrossParser:
                 low = c.lower()
                 code[p] = own.get(low[0] if low else c, self.size - 1)
         self.code = code
-        rows: list[dict[int, int]] = []
+        states, arcs = 0, []
         self.weights, roots = [], []
         for lang in self.langs:
             seq: list[int] = []
@@ -142,16 +140,18 @@ class CrossParser:
                 if len(seq) >= limit:
                     break
             seq = seq[:limit] or [0]
-            base = len(rows)
-            roots.append(base)
-            rows += [{c: base + to for c, to in d.items() if c != self.size - 1} for d in suffix_automaton(seq)]
+            roots.append(states)
+            automaton = suffix_automaton(seq)
+            own = np.array([(s, c, to) for s, d in enumerate(automaton) for c, to in d.items() if c != self.size - 1], np.int64).reshape(-1, 3)
+            arcs.append(own + np.array([states, 0, states]))
+            states += len(automaton)
             self.weights.append(math.log2(len(seq) + 1))
         self.roots = np.array(roots, np.int32)
-        self.next = Transitions(rows, self.size)
+        frm, letter, to = np.concatenate(arcs).T if arcs else np.zeros((3, 0), np.int64)
+        self.next = Transitions(states, frm, letter, to, self.size)
         self.again = np.repeat(self.roots[:, None], self.size, axis=1)  # where a phrase that begins with a letter stands
         for k, root in enumerate(roots):
-            for c, to in rows[root].items():
-                self.again[k, c] = to
+            self.again[k, letter[frm == root]] = to[frm == root]
         self.unknown = self.again == self.roots[:, None]  # a letter that never occurs is a phrase of its own
 
     def symbols(self, points: np.ndarray) -> np.ndarray:
@@ -227,7 +227,9 @@ def labelled_sample(rows: DataFrame) -> dict[str, list[str]]:
 
 
 def fit(rows: DataFrame) -> CrossParser:
-    return CrossParser(labelled_sample(rows))
+    model = CrossParser(labelled_sample(rows))
+    give_back()
+    return model
 
 
 def identify(docs: DataFrame, model: CrossParser) -> DataFrame:
@@ -240,7 +242,7 @@ def identify(docs: DataFrame, model: CrossParser) -> DataFrame:
                 langs, score, bits = shared.value.predict(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(langs, pa.string()), pa.array(score, pa.float64()), pa.array(bits, pa.float64())], ["doc_id", "lang_pred", "score", "bits"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda b: released(run(b)), SCHEMA)
 
 
 def labelled(docs: DataFrame, model: CrossParser) -> DataFrame:
@@ -253,7 +255,7 @@ def labelled(docs: DataFrame, model: CrossParser) -> DataFrame:
                 langs, _, _ = shared.value.predict(part.column("text").to_pylist())
                 yield part.set_column(part.schema.get_field_index("lang"), "lang", pa.array(langs, pa.string()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lambda b: released(run(b)), docs.schema)
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -114,16 +114,40 @@ def prepared(spark: SparkSession, templates: dict[str, str]) -> list[dict]:
         n = len(own["sh"])
         if not n:
             raise ValueError(f"template {name} has fewer than {SHINGLE} words")
-        anchored = sum(any(a in w for a in ANCHORS for w in own["w"][i : i + SHINGLE]) for i in range(len(own["w"]) - SHINGLE + 1))
-        if n - anchored >= -(-PERCENT * n // 100):
-            raise ValueError(f"template {name} could match without an anchor")
         rows.append({"name": name, "sh": own["sh"], "width": size_class(n)})
+    for t, own in zip(rows, said, strict=True):
+        t["grams"] = [own["w"][i : i + SHINGLE] for i in range(len(own["w"]) - SHINGLE + 1)]
     width = F.get(longs([t["width"] for t in rows]), F.col("i")).cast("int")
     bands = F.sequence(F.lit(0), F.lit(BANDS - 1))
     keys = texts.select("i", F.transform(bands, lambda b: F.xxhash64(F.array_min(F.transform("sh", lambda h: F.xxhash64(h, b))), width, b)).alias("keys"))
     return [t | {"keys": r["keys"]} for t, r in zip(rows, sorted(keys.collect(), key=lambda r: r["i"]), strict=True)]
 
 
+def anchors_of(known: list[dict], usual: tuple[str, ...] = ANCHORS, most: int = 24) -> tuple[str, ...]:
+    """Words without one of which no text can match: of each template so few shingles lack one that the others aren't enough.
+
+    The usual ones where they do, else words of the templates, those first that help most templates; none (every text is read) where ``most`` don't do.
+    """
+
+    def open_(t: dict, anchors: tuple[str, ...]) -> bool:
+        bare = len({" ".join(g) for g in t["grams"] if not any(a in w for a in anchors for w in g)})
+        return bare * 100 >= PERCENT * len(t["sh"])
+
+    anchors = usual
+    while left := [t for t in known if open_(t, anchors)]:
+        if len(anchors) >= most:
+            return ()
+        help_: dict[str, int] = {}
+        for t in left:
+            for w in {w for g in t["grams"] for w in g if w.isascii() and len(w) > 3}:
+                help_[w] = help_.get(w, 0) + sum(w in g for g in t["grams"])
+        help_ = {w: n for w, n in help_.items() if w not in anchors}
+        if not help_:
+            return ()
+        anchors = (*anchors, max(sorted(help_), key=help_.get))
+    return anchors
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """(doc_id, license, n_matched, containment)."""
     known = prepared(docs.sparkSession, templates or TEMPLATES)
@@ -132,13 +156,14 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
         for key in t["keys"]:
             by_key.setdefault(key, []).append(k)
     # one pattern, so that a text is read once
-    anchored = F.col("text").rlike("|".join("".join(f"[{c}{c.upper()}]" for c in a) for a in ANCHORS))
+    anchors = anchors_of(known)
+    anchored = F.col("text").rlike("|".join("".join(f"[{c}{c.upper()}]" for c in a) for a in anchors)) if anchors else F.col("text").isNotNull()
     d = docs.where(anchored).select("doc_id", words(F.col("text")).alias("words"))
     widths = sorted({t["width"] for t in known})
-    every = longs(sorted({h for t in known for h in t["sh"]}))
+    every = sorted({h for t in known for h in t["sh"]})  # a hash set in the plan
     d = d.select("doc_id", shingles(F.col("words")).alias("sh"))
     # a band agrees on a shingle of the template, so only windows that hold a shingle of some template can agree
-    d = d.withColumn("at", F.filter(F.transform("sh", lambda h, i: F.when(F.array_contains(every, h), i)), lambda i: i.isNotNull()))
+    d = d.withColumn("at", F.filter(F.transform("sh", lambda h, i: F.when(h.isin(every), i)), lambda i: i.isNotNull()))
     d = d.select("doc_id", "sh", *[window_starts(F.col("at"), F.size("sh"), w).alias(f"w{w}") for w in widths])
     starts = {w: F.col(f"w{w}") for w in widths}
     met = [band_hits(F.col("sh"), starts, k, {w: sorted({t["keys"][k] for t in known if t["width"] == w}) for w in widths}) for k in range(BANDS)]

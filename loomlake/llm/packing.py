@@ -32,11 +32,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, cut, table
+from .common import chunks, cut, released, table
 
 SEQUENCE = 1024
 END_ID = 2
-CACHE = 400_000  # distinct cuts kept by a Python worker
+CACHE = 200_000  # distinct cuts kept by a Python worker
 VOCABULARY = "byte_bpe_50k"
 SPECIAL = "<|endoftext|>"
 ODD_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -114,7 +114,7 @@ def pieces(docs: DataFrame, sequence: int = SEQUENCE, end_id: int = END_ID, voca
                         at, k = stop, k + 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], PIECES.replace(",", "").split()[::2])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda b: released(run(b)), PIECES)
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, list[int]]:

@@ -19,6 +19,8 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_chat_formatting": chat.ORACLE,
     "op3_shard_lookup": sharding.ORACLE,
+    "op6_jaccard_join": jaccard.ORACLE,
     "op7_license_scan": licenses.ORACLE,
+    "op8_decontamination": decontaminate.ORACLE,
     "op9_hamming_top_k": hamming.ORACLE,
 }

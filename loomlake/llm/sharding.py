@@ -52,7 +52,9 @@ def assign(df: DataFrame, key: str, shards: tuple[str, ...] = SHARDS, slots: int
     names = F.split(F.lit("\x1f".join(shards)), "\x1f")
     owners = owners.select(F.col("slot").cast("long").alias("slot"), F.get(names, F.col("owner").cast("int")).alias("shard"))
     hashed = F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), 1, 8), 16, 10).cast("long")
-    return df.drop("shard").withColumn("slot", hashed % slots).join(F.broadcast(owners), "slot", "left")
+    own = df.withColumn("shard slot", hashed % slots).join(F.broadcast(owners.select(F.col("slot").alias("shard slot"), F.col("shard").alias("shard name"))), "shard slot", "left")
+    # columns of the input by these names give way, the key's value has been read by then
+    return own.select(*[c for c in df.columns if c not in ("slot", "shard")], F.col("shard slot").alias("slot"), F.col("shard name").alias("shard"))
 
 
 def op3_shard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, cut, discard, table
+from .common import chunks, cut, discard, released, table
 
 FAN_IN = 32
 FOLD = 12  # longest repeated sequence, in parts
@@ -580,7 +580,7 @@ def extract(pages: DataFrame, broadcast_chars: int = BROADCAST_CHARS) -> DataFra
                     texts.append(seen[hosts[k]].text(Page(source)))
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    return (own if small else own.join(wrappers, "host", "left")).mapInArrow(run, "page_id long, url string, text string")
+    return (own if small else own.join(wrappers, "host", "left")).mapInArrow(lambda b: released(run(b)), "page_id long, url string, text string")
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,8 +37,13 @@ def test_licenses_against_brute_force(spark):
 def test_templates_are_checked(spark):
     with pytest.raises(ValueError):
         licenses.prepared(spark, {"short": "too short"})
-    with pytest.raises(ValueError):
-        licenses.prepared(spark, {"bare": "one two three four five six seven"})
+    # templates without the usual words
+    bare = {"bare": "one two three four five six seven", "long": "alpha beta gamma delta epsilon zeta eta theta iota kappa", "short": "aa bb cc dd ee ff gg"}
+    texts = ["x ONE two three four five six seven y", "alpha beta gamma delta epsilon zeta eta theta iota kappa", "alpha beta", "aa bb cc dd ee ff gg", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {(r["doc_id"], r["license"]) for r in licenses.scan(df, bare).collect()} == {(0, "bare"), (1, "long"), (3, "short")}
+    assert licenses.anchors_of(licenses.prepared(spark, licenses.TEMPLATES)) == licenses.ANCHORS
+    assert licenses.anchors_of(licenses.prepared(spark, {"short": bare["short"]})) == ()
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body class="has-sidebar">

@@ -159,6 +159,12 @@ def test_sharding_edges(spark):
     assert "Python" not in plan and "Exchange hashpartitioning" not in plan
 
 
+def test_shard_key_may_have_any_name(spark):
+    want = [r["shard"] for r in sharding.assign(spark.createDataFrame([(7,)], "k long"), "k").collect()]
+    for name in ("shard", "slot", "owner"):
+        assert [r["shard"] for r in sharding.assign(spark.createDataFrame([(7,)], f"{name} long"), name).collect()] == want
+
+
 # --- packing ---
 
 ODD_TEXTS = ["", None, "hello world", " lead", "trail ", "a  b", "a   b", "x \n y", "tab\tx", "nb\xa0 sp", "<|endoftext|> in text", "é ü ñ", "it's o'clock we'll", "１２ ² Ⅷ", "word " * 3000, "z" * 5000, "\n", " ", "a\n b", "a \nb", "日本 語"]
