@@ -52,7 +52,7 @@ def day(text: Column) -> Column:
 
 def list_parts(text: Column) -> Column:
     """Trimmed non-empty parts between commas."""
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def categories(codes: Column, names: Column) -> Column:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.text import char_ngrams, words
 from ..storage import cut
@@ -20,15 +20,23 @@ from ..storage import cut
 AUTOMATON_LETTERS = 4_000_000
 
 
-def containment_join(texts: DataFrame, terms: DataFrame, text_id: str, text: str, term_id: str, term: str, gram: int = 3, letters: int = AUTOMATON_LETTERS) -> DataFrame:
+def containment_join(texts: DataFrame, terms: DataFrame, text_id: str, text: str, term_id: str, term: str, gram: int = 3, letters: int = AUTOMATON_LETTERS, places: list[tuple[str, float]] | None = None, otherwise: float = 1.0) -> DataFrame:
     """(text_id, term_id): every non-empty term that occurs in a text, each pair once a row of texts.
 
     Terms of up to ``letters`` letters in all (counted before) are sent to the tasks as one Aho-Corasick automaton, which reads each text once. More
-    terms are joined by :func:`containment_by_grams`.
+    terms are joined by :func:`containment_by_grams`. With ``places`` (columns of texts and their weights) there is a ``location``: the weight of the first of them that has
+    the term too, else ``otherwise``.
     """
     t = terms.where(F.length(term) > 0).select(F.col(term_id).alias("_t"), F.col(term).alias("_term"))
     if (t.agg(F.sum(F.length("_term") + 1)).first()[0] or 0) > letters:
-        return containment_by_grams(texts, terms, text_id, text, term_id, term, gram)
+        found = containment_by_grams(texts, terms, text_id, text, term_id, term, gram)
+        if not places:
+            return found
+        weight = F.lit(otherwise)
+        for column, w in reversed(places):
+            weight = F.when(F.contains(F.col(column), F.col("_term")), w).otherwise(weight)
+        said = texts.select(F.col(text_id), *[c for c, _ in places]).join(found, text_id).join(t.select(F.col("_t").alias(term_id), "_term").distinct(), term_id)
+        return said.select(text_id, term_id, weight.cast("double").alias("location"))
     by_term: dict[str, list] = {}
     for r in t.distinct().collect():
         by_term.setdefault(r["_term"], []).append(r["_t"])
@@ -38,26 +46,37 @@ def containment_join(texts: DataFrame, terms: DataFrame, text_id: str, text: str
     automaton.make_automaton()
     kind, ids = t.schema["_t"].dataType, list(by_term.values())
     shared = texts.sparkSession.sparkContext.broadcast((automaton, ids))
-    d = texts.select(F.col(text_id).alias("_d"), F.col(text).alias("_text")).where("_d IS NOT NULL AND _text IS NOT NULL")
-    schema = StructType([StructField(text_id, d.schema["_d"].dataType), StructField(term_id, kind)])
+    weights = [w for _, w in places or []]
+    d = texts.select(F.col(text_id).alias("_d"), F.col(text).alias("_text"), *[F.col(c).alias(f"_p{k}") for k, (c, _) in enumerate(places or [])]).where("_d IS NOT NULL AND _text IS NOT NULL")
+    schema = StructType([StructField(text_id, d.schema["_d"].dataType), StructField(term_id, kind), *([StructField("location", DoubleType())] if places else [])])
     names, term_type = schema.names, to_arrow_type(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, ids = shared.value
         if not ids:
             return
+
+        def out(batch: pa.RecordBatch, rows: list, found: list, at: list) -> pa.RecordBatch:
+            columns = [batch.column("_d").take(pa.array(np.concatenate(rows))), pa.array(found, term_type)]
+            return pa.RecordBatch.from_arrays([*columns, *([pa.array(at, pa.float64())] if weights else [])], names)
+
         for batch in batches:
-            rows, found, held = [], [], 0
+            rows, found, at = [], [], []
+            fields = [batch.column(f"_p{k}").to_pylist() for k in range(len(weights))]
             for k, body in enumerate(batch.column("_text").to_pylist()):
-                own = [t for n in {n for _, n in automaton.iter(body)} for t in ids[n]]
-                rows.append(np.full(len(own), k))
-                found += own
-                held += len(own)
-                if held > 200_000:
-                    yield pa.RecordBatch.from_arrays([batch.column("_d").take(pa.array(np.concatenate(rows))), pa.array(found, term_type)], names)
-                    rows, found, held = [], [], 0
-            if held:
-                yield pa.RecordBatch.from_arrays([batch.column("_d").take(pa.array(np.concatenate(rows))), pa.array(found, term_type)], names)
+                own = {n for _, n in automaton.iter(body)}
+                place = dict.fromkeys(own, otherwise)
+                for field, weight in reversed(list(zip(fields, weights, strict=True))):
+                    place |= dict.fromkeys({n for _, n in automaton.iter(field[k])} & own if field[k] else (), weight)
+                for n in own:
+                    found += ids[n]
+                    at += [place[n]] * len(ids[n])
+                rows.append(np.full(sum(len(ids[n]) for n in own), k))
+                if len(found) > 200_000:
+                    yield out(batch, rows, found, at)
+                    rows, found, at = [], [], []
+            if found:
+                yield out(batch, rows, found, at)
 
     return d.mapInArrow(run, schema)
 
@@ -97,6 +116,7 @@ def query_terms(queries: DataFrame, query_id: str, text: str, grams: dict[int, f
 
 def idf_top_k(hits: DataFrame, terms: DataFrame, n_docs: int, query_id: str, doc_id: str, k: int) -> DataFrame:
     """(query_id, doc_id, score, rank) for hits (term, doc_id, location weight): sum of weight * location * ln(1 + N / df)."""
+    hits = cut(hits)
     df = hits.groupBy("term").agg(F.count_distinct(doc_id).alias("df"))
     idf = df.select("term", F.log(1 + F.lit(n_docs) / F.col("df")).alias("idf"))
     s = terms.join(hits, "term").join(idf, "term").groupBy(query_id, doc_id).agg(F.sum(F.col("weight") * F.col("location") * F.col("idf")).alias("score"))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.text import char_ngrams
+from ..storage import cut
 from .retrieval import containment_join
 
 SEPARATOR = "[^가-힣a-z0-9]+"
@@ -53,11 +54,7 @@ def located_hits(catalog: DataFrame, terms: DataFrame, places: list[tuple[str, f
     """(code, term, location): codes whose name, group or body has a term; the weight of the first of ``places`` that has it."""
     fields = catalog.select("code", *[F.lower(F.coalesce(c, F.lit(""))).alias(c) for c in ("name", "group_name", "body")])
     searched = fields.withColumn("_all", F.concat_ws(" ", "name", "group_name", "body"))
-    found = containment_join(searched, terms.select("term").distinct(), "code", "_all", "term", "term")
-    place = F.lit(otherwise)
-    for column, weight in reversed(places):
-        place = F.when(F.contains(column, F.col("term")), weight).otherwise(place)
-    return found.join(fields.drop("body"), "code").select("code", "term", place.cast("double").alias("location"))
+    return containment_join(searched, terms.select("term").distinct(), "code", "_all", "term", "term", places=places, otherwise=otherwise).select("code", "term", "location")
 
 
 def idf_scores(terms: DataFrame, hits: DataFrame, n: int, keys: list[str], scope: list[str] | None = None) -> DataFrame:
@@ -65,6 +62,7 @@ def idf_scores(terms: DataFrame, hits: DataFrame, n: int, keys: list[str], scope
 
     Terms that several queries share have one df, as it is the catalogue's.
     """
+    hits = cut(hits)
     df = hits.groupBy("term").agg(F.count_distinct("code").alias("df"))
     part = F.col("weight") * F.col("location") * F.log(1 + F.lit(n) / F.col("df"))
     s = terms.join(hits, "term").join(df, "term").groupBy(*keys, "code").agg(F.sum(part).alias("score"))

@@ -503,9 +503,7 @@ def ngram_idf_topk(spark, sf_dir):
     terms = retrieval.query_terms(b, "item_id", "text", {3: 0.65, 2: 0.35}, cap=480)
     low = lambda c: F.lower(F.coalesce(c, F.lit("")))
     fields = d.select("doc_id", low(F.col("text")).alias("text"), low(F.split_part("text", F.lit("\n"), F.lit(1))).alias("name"), low(F.col("source")).alias("source"))
-    found = retrieval.containment_join(fields.select("doc_id", F.concat_ws(" ", "text", "source").alias("text")), terms.select("term").distinct(), "doc_id", "text", "term", "term")
-    location = F.when(F.contains("name", F.col("term")), 8.0).when(F.contains("source", F.col("term")), 4.0).otherwise(1.0)
-    hits = found.join(fields.drop("text"), "doc_id").select("doc_id", "term", location.alias("location"))
+    hits = retrieval.containment_join(fields.withColumn("text", F.concat_ws(" ", "text", "source")), terms.select("term").distinct(), "doc_id", "text", "term", "term", places=[("name", 8.0), ("source", 4.0)])
     return retrieval.idf_top_k(hits, terms, d.count(), "item_id", "doc_id", 5)
 
 

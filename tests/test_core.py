@@ -116,6 +116,10 @@ def test_containment_by_automaton_and_by_grams(spark):
         got = [tuple(r) for r in retrieval.containment_join(texts, terms, "d", "t", "i", "w", letters=letters).collect()]
         assert set(got) == want and len(got) == 3
     assert retrieval.containment_join(texts, terms.limit(0), "d", "t", "i", "w").count() == 0
+    placed = texts.withColumns({"p": F.lit("bb"), "q": F.lit("数据 c")})
+    for letters in (retrieval.AUTOMATON_LETTERS, 0):
+        got = {tuple(r) for r in retrieval.containment_join(placed, terms, "d", "t", "i", "w", letters=letters, places=[("p", 8.0), ("q", 4.0)]).collect()}
+        assert got == {(1, "x", 4.0), (1, "y", 8.0), (1, "z", 4.0)}
 
 
 def test_containment_of_short_terms_and_no_pairs(spark):
