@@ -94,5 +94,17 @@ def taxonomy_issues(items: DataFrame, links: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [level, several, orphan, cycle]).distinct()
 
 
+def taxonomy_validity(items: DataFrame, links: DataFrame, pattern: str) -> DataFrame:
+    """(code, issue) of a coded taxonomy: items (code, level), links (child, parent).
+
+    CODE_PATTERN, LEVEL (a child is one below its parent, which exists), MAJOR (the first two characters of both are equal), SEVERAL_PARENTS, NO_PARENT (below level 1), ROOT_WITH_PARENT, CYCLE.
+    """
+    j = links.join(items.select(F.col("code").alias("child"), "level"), "child").join(items.select(F.col("code").alias("parent"), F.col("level").alias("_pl")), "parent")
+    code = items.select("code", F.lit("CODE_PATTERN").alias("issue")).where(~F.coalesce(F.col("code").rlike(pattern), F.lit(False)))
+    major = j.where(F.substring("child", 1, 2) != F.substring("parent", 1, 2)).select(F.col("child").alias("code"), F.lit("MAJOR").alias("issue"))
+    root = links.join(items.where("level = 1").select(F.col("code").alias("child")), "child").select(F.col("child").alias("code"), F.lit("ROOT_WITH_PARENT").alias("issue"))
+    return reduce(DataFrame.unionByName, [taxonomy_issues(items, links), code, major, root]).distinct()
+
+
 def degree_summary(edges_: DataFrame) -> DataFrame:
     return edges_.groupBy("predicate").agg(F.count("*").alias("edges"), F.count_distinct("subject_id").alias("subjects"), F.count_distinct("object_id").alias("objects"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import claims, graph, ledger_checks
+from ..operators import claims, cohort, graph, ledger_checks
+from ..sources import bundles, documents, readers
 from .registry import query, t
 
 
@@ -318,3 +319,80 @@ def scope_screens(spark, sf_dir):
     said = F.concat_ws("|", "p_name", "p_type")
     rules = {"COLOUR": "^(red|blue)", "MACHINE": r"(gear|bolt|rod)[^|]*\|", "OFFER": r"\|.*promo", "HEAT": r"(hot|cold)\s", "SIZE": r"^(small|large)\b"}
     return t(spark, sf_dir, "part").select("p_partkey", F.array_join(text.scope_families(said, rules), ",").alias("families"))
+
+
+# --- envelopes, bundles, catalogues, cohorts ---
+
+
+@query("""SELECT o_orderkey AS k, CASE o_orderkey % 6 WHEN 1 THEN 'TOTAL_MISSING' WHEN 2 THEN 'PAGE_MISMATCH' WHEN 3 THEN 'SIZE_MISMATCH' WHEN 4 THEN 'ITEMS_WITHOUT_TOTAL' WHEN 5 THEN 'TOO_MANY_ITEMS' END AS issue FROM orders""")
+def envelope_metadata(spark, sf_dir):
+    m = F.col("o_orderkey") % 6
+    issue = readers.envelope_issue(F.lit(2), F.lit(10), F.when(m == 2, 1).when(m == 0, F.lit(None)).otherwise(2), F.when(m == 3, 20).otherwise(10), F.when(m == 1, F.lit(None)).when(m == 4, 0).otherwise(15), F.when(m == 5, 6).otherwise(5))
+    return t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), issue.alias("issue"))
+
+
+@query("""SELECT 'f' || p_partkey AS name, CASE WHEN p_partkey % 7 = 0 THEN 'MISSING' WHEN p_partkey % 5 = 0 THEN 'UNEXPECTED' ELSE 'CHANGED' END AS issue FROM part WHERE (p_partkey % 7 = 0) <> (p_partkey % 5 = 0) OR (p_partkey % 7 <> 0 AND p_partkey % 5 <> 0 AND p_partkey % 11 = 0)""")
+def bundle_verification(spark, sf_dir):
+    p = t(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("f"), "p_partkey").alias("name"), F.sha2("p_name", 256).alias("sha256"), F.length("p_name").cast("long").alias("byte_length"))
+    m = p.where("p_partkey % 5 <> 0").withColumn("sha256", F.when(F.col("p_partkey") % 11 == 0, "x").otherwise(F.col("sha256")))
+    return bundles.bundle_issues(p.where("p_partkey % 7 <> 0").drop("p_partkey"), m.drop("p_partkey"))
+
+
+@query("""WITH r AS (SELECT l_suppkey AS code, count(DISTINCT l_linenumber) AS elements, count(*) FILTER (WHERE l_returnflag <> 'N' AND l_linestatus <> 'O') AS rated FROM lineitem GROUP BY 1) SELECT s_suppkey::VARCHAR AS code, s_name AS title, (s_suppkey::VARCHAR)[:2] AS major, coalesce(elements, 0) AS elements, coalesce(rated, 0) AS rated FROM supplier LEFT JOIN r ON r.code = s_suppkey""")
+def rated_catalogue(spark, sf_dir):
+    o = t(spark, sf_dir, "supplier").select(_s("s_suppkey").alias("code"), F.col("s_name").alias("title"))
+    li = t(spark, sf_dir, "lineitem")
+    r = li.select(_s("l_suppkey").alias("code"), _s("l_linenumber").alias("element_id"), F.lit("IM").alias("scale"), F.when(F.col("l_returnflag") != "N", 1.0).alias("value"), (F.col("l_linestatus") == "O").alias("suppress"))
+    return bundles.catalogue(o, o.select("code", F.lit(None).cast("string").alias("parent")), r.select("element_id").distinct(), r)[0]
+
+
+@query("""SELECT page_id, 0 AS n, CASE WHEN page_id % 3 = 0 THEN 'page' WHEN page_id % 3 = 1 THEN 'archive_section' ELSE 'body' END AS kind, CASE WHEN page_id % 3 = 1 THEN 'a.txt' END AS name, CASE WHEN page_id % 3 = 1 THEN 'a.txt ' ELSE '' END || 'one ' || page_id AS text FROM pages UNION ALL SELECT page_id, 1, 'page', NULL, 'two' FROM pages WHERE page_id % 3 = 0""")
+def parsed_sections(spark, sf_dir):
+    k = F.col("page_id")
+    inner = F.when(k % 3 == 0, F.concat(F.lit('<div class="page"><p>one\n '), k, F.lit('</p></div><div class="page"/><div class="page">two</div>'))).when(k % 3 == 1, F.concat(F.lit('<div class="package-entry"><h1>a.txt</h1> <div class="page">one '), k, F.lit("</div></div>"))).otherwise(F.concat(F.lit("one "), k))
+    d = t(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("<html><head><title>t</title></head><body>"), inner, F.lit("</body></html>")).alias("x"))
+    s = documents.xml_sections(d, "page_id", "x").where("error_code IS NULL")
+    from pyspark.sql import Window
+
+    return s.withColumn("n", F.row_number().over(Window.partitionBy("page_id").orderBy("n")) - 1).select("page_id", "n", "kind", "name", "text")
+
+
+@query("""WITH x AS (SELECT lpad((c_custkey % 40)::VARCHAR, 2, '0') || '-' || c_custkey AS code, c_custkey AS k, CASE WHEN c_custkey < 40 THEN 1 ELSE 2 END AS level FROM customer), p AS (SELECT code, k, lpad((k % 40)::VARCHAR, 2, '0') || '-' || (k % 40) AS parent, k % 40 AS pk FROM x WHERE k >= 40 AND k % 9 <> 1)
+SELECT code, 'NO_PARENT' AS issue FROM x WHERE k >= 40 AND k % 9 = 1 UNION ALL SELECT code, 'SEVERAL_PARENTS' FROM p WHERE k % 9 = 2 AND k % 40 <> 39 UNION ALL SELECT code, 'MAJOR' FROM p WHERE k % 9 = 2 AND k % 40 <> 39 UNION ALL SELECT code, 'ROOT_WITH_PARENT' FROM x WHERE k = 3 UNION ALL SELECT code, 'LEVEL' FROM x WHERE k = 3 UNION ALL SELECT code, 'MAJOR' FROM x WHERE k = 3 UNION ALL SELECT 'bad', 'CODE_PATTERN' FROM region WHERE r_regionkey = 0""")
+def coded_taxonomy(spark, sf_dir):
+    k = F.col("c_custkey")
+    c = t(spark, sf_dir, "customer")
+    name = lambda n: F.concat(F.lpad((n % 40).cast("string"), 2, "0"), F.lit("-"), n)
+    items = c.select(name(k).alias("code"), F.when(k < 40, 1).otherwise(2).alias("level")).unionByName(spark.createDataFrame([("bad", 1)], "code string, level int"))
+    links = c.where("c_custkey >= 40 AND c_custkey % 9 <> 1").select(name(k).alias("child"), name(k % 40).alias("parent"))
+    more = c.where("c_custkey >= 40 AND c_custkey % 9 = 2 AND c_custkey % 40 <> 39").select(name(k).alias("child"), name(F.lit(39)).alias("parent"))
+    root = c.where("c_custkey = 3").select(name(k).alias("child"), name(F.lit(5)).alias("parent"))
+    return graph.taxonomy_validity(items, links.unionByName(more).unionByName(root), "^[0-9]{2}-[0-9]+$")
+
+
+@query("""WITH c AS (SELECT c_custkey AS e, CASE WHEN c_custkey % 5 = 0 THEN 'EXCLUDED' ELSE 'INCLUDED' END AS o FROM customer), t AS (SELECT o_custkey AS e, string_agg(DISTINCT CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END, ',' ORDER BY CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END) AS tracks FROM orders GROUP BY 1)
+SELECT e AS entity, CASE WHEN o = 'INCLUDED' AND tracks IS NULL THEN 'EXCLUDED' ELSE o END AS outcome, coalesce(tracks, '') AS tracks, CASE WHEN o = 'EXCLUDED' THEN 'OLD' WHEN tracks IS NULL AND e IN (SELECT o_custkey FROM orders) THEN 'NOT_F,NO_QUALIFYING_TRACK' WHEN tracks IS NULL THEN 'NO_QUALIFYING_TRACK' ELSE '' END AS reasons FROM c LEFT JOIN t USING (e)""")
+def cohort_tracks(spark, sf_dir):
+    k = F.col("c_custkey")
+    c = t(spark, sf_dir, "customer").select(k.alias("entity"), F.when(k % 5 == 0, "EXCLUDED").otherwise("INCLUDED").alias("outcome"), F.when(k % 5 == 0, F.array(F.lit("OLD"))).otherwise(F.array().cast("array<string>")).alias("reasons"))
+    tr = t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("entity"), F.col("o_orderpriority").alias("profile"), "o_orderstatus")
+    d = cohort.tracks(c, tr, F.array_compact(F.array(F.when(F.col("o_orderstatus") != "F", "NOT_F"))))
+    return d.select("entity", "outcome", F.array_join("tracks", ",").alias("tracks"), F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("""SELECT c_custkey AS entity, CASE WHEN c_custkey % 3 = 0 OR d IS NULL THEN 'NOT_SERVED' WHEN closed THEN 'CLOSED' WHEN d::DATE < DATE '2000-06-01' THEN 'EXPIRED' WHEN c_custkey % 4 = 0 THEN 'STALE' ELSE 'ACTIVE' END AS state, coalesce(n, 0) AS claims, coalesce(f, 0) AS supported FROM customer LEFT JOIN (SELECT o_custkey AS k, max(o_orderdate) AS d, bool_or(o_orderkey % 50 = 0) AS closed, count(*) AS n, count(*) FILTER (WHERE o_orderkey % 4 > 0) AS f FROM orders GROUP BY 1) ON k = c_custkey WHERE c_custkey % 3 <> 0""")
+def cohort_serving(spark, sf_dir):
+    k = F.col("c_custkey")
+    c = t(spark, sf_dir, "customer").select(k.alias("entity"), F.when(k % 3 == 0, "EXCLUDED").otherwise("INCLUDED").alias("outcome"))
+    o = t(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "entity")
+    p = o.groupBy("entity").agg(F.bool_or(F.col("o_orderkey") % 50 == 0).alias("closed"), F.to_date(F.max("o_orderdate")).alias("last_day")).withColumn("last_seen_at", F.when(F.col("entity") % 4 == 0, "2000-01-01").otherwise("2000-05-31").cast("timestamp"))
+    s = cohort.serving_state(c, p, "2000-06-01 00:00:00", 172800).where("outcome = 'INCLUDED'")
+    return s.join(cohort.claim_support(c, o.select("entity", F.col("o_orderkey").alias("claim"), (F.col("o_orderkey") % 4).alias("evidence"))), "entity").select("entity", "state", "claims", "supported")
+
+
+@query("""SELECT o_orderstatus AS outcome, count(*) AS members FROM orders GROUP BY 1""")
+def cohort_manifest(spark, sf_dir):
+    o = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("entity"), F.col("o_orderstatus").alias("outcome"), F.array(F.col("o_orderpriority")).alias("reasons"))
+    a, b = cohort.manifest(o), cohort.manifest(o.repartition(5, "reasons"))
+    changed = cohort.manifest(o.withColumn("reasons", F.when(F.col("entity") == 1, F.array()).otherwise(F.col("reasons"))))
+    return a.join(b, ["outcome", "members", "hash"]).join(changed.select(F.col("outcome"), F.lit(1).alias("x")), "outcome").select("outcome", "members")

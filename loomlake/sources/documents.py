@@ -76,6 +76,42 @@ def xml_records(df: DataFrame, body: str, row: str, fields: list[str]) -> DataFr
     return d.select(*rest, (F.col("n") + 1).alias("n"), *[F.try_element_at("_r", F.lit(f)).alias(f) for f in fields], "error_code")
 
 
+def xml_sections(df: DataFrame, key: str, body: str) -> DataFrame:
+    """(key, n, kind, name, text, error_code): sections of a parser's XHTML: pages (``div class="page"``), members of an archive (``package-entry``), else the whole body.
+
+    White space is folded, empty sections are left out; text that is no XML has one row with INVALID_XML.
+    """
+
+    def sections(text: str | None) -> Iterator[tuple]:
+        if not text or not text.strip():
+            return
+        root = parsed_xml(text)
+        marked = [e for e in root.iter() if local(e.tag) == "div" and e.get("class") in ("page", "package-entry")]
+        inner = {id(x) for e in marked for x in e.iter() if x is not e}
+        parts = [e for e in marked if id(e) not in inner] or [e for e in root.iter() if local(e.tag) == "body"][:1]
+        for e in parts:
+            kind = {"page": "page", "package-entry": "archive_section"}.get(e.get("class"), "body")
+            head = next((x for x in e.iter() if local(x.tag) == "h1"), None) if kind == "archive_section" else None
+            said = " ".join("".join(e.itertext()).split())
+            if said:
+                yield kind, "".join(head.itertext()).strip() if head is not None else None, unicodedata.normalize("NFC", said)
+
+    kind = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("kind", "name", "text", "error_code")]))
+
+    @F.pandas_udf(kind)
+    def found(values: pd.Series) -> pd.Series:
+        out = []
+        for text in values:
+            try:
+                out.append([{"kind": k, "name": n, "text": s, "error_code": None} for k, n, s in sections(text)])
+            except ElementTree.ParseError:
+                out.append([{"kind": None, "name": None, "text": None, "error_code": "INVALID_XML"}])
+        return pd.Series(out)
+
+    d = df.select(key, F.posexplode(found(F.col(body))).alias("n", "_s"))
+    return d.select(key, "n", "_s.kind", "_s.name", "_s.text", "_s.error_code")
+
+
 def body_format(body: Column) -> Column:
     """json, xml, or other, by a text's first sign."""
     first = F.substring(F.regexp_replace(body, "^[\\s\\ufeff]+", ""), 1, 1)

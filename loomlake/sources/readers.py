@@ -100,3 +100,15 @@ def body_issue(content: Column, extension: Column, most: int = 50_000_000) -> Co
     start = F.hex(F.substring(content, 1, 8))
     magic = F.when(F.lower(extension) == "pdf", start.startswith("25504446")).when(F.lower(extension).isin("hwpx", "zip", "docx", "xlsx"), start.startswith("504B0304")).when(F.lower(extension) == "hwp", start.startswith("D0CF11E0"))
     return F.when(F.length(content) == 0, "EMPTY").when(F.length(content) > most, "TOO_LARGE").when(~magic, "MAGIC")
+
+
+def envelope_issue(requested_page: Column, requested_size: Column, page: Column, size: Column, total: Column, items: Column) -> Column:
+    """What an envelope's page metadata says against its request: TOTAL_MISSING, PAGE_MISMATCH, SIZE_MISMATCH, TOO_MANY_ITEMS, ITEMS_WITHOUT_TOTAL; null where it fits.
+
+    A source that tells no page or size has nulls there, which fit.
+    """
+    left = F.greatest(F.lit(0), total - (requested_page - 1) * requested_size)
+    return (
+        F.when(total.isNull() | (total < 0), "TOTAL_MISSING").when(page != requested_page, "PAGE_MISMATCH").when(size != requested_size, "SIZE_MISMATCH").when((total == 0) & (items > 0), "ITEMS_WITHOUT_TOTAL")
+        .when(items > F.least(requested_size, left), "TOO_MANY_ITEMS")
+    )

@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomlake.functions import records
-from loomlake.operators import normalize, projection, review, shortlists
-from loomlake.sources import documents, paged, readers, sinks
+from loomlake.operators import claims, normalize, projection, review, shortlists
+from loomlake.sources import bundles, documents, paged, readers, sinks
 from loomlake.streaming import ndjson
 
 
@@ -227,3 +227,39 @@ def test_row_helpers(spark):
     deep = {"properties": {"x": {"$ref": "#/$defs/a"}}, "$defs": {"a": {"$ref": "#/$defs/a"}}}
     assert records.schema_issues({"x": 1}, deep) == ["/x:SCHEMA_DEPTH_LIMIT"] and records.schema_issues(True, {"type": "integer"}) == [":TYPE"]
     assert projection.backbone(spark.createDataFrame([("e", "K", None, 1, "s")], "entity string, kind string, label string, priority int, source string"), spark.createDataFrame([], "subject string, predicate string, object string"))[0].first()["label"] == "e"
+
+
+def test_review_packets_round_trip(spark, tmp_path):
+    path = str(tmp_path / "packets")
+    items = spark.createDataFrame([(k, f"text {k}", None) for k in range(5)], "item int, text string, note string")
+    claims.export_packets(items, path, "item", 2)
+    asked = spark.read.json(path)
+    assert asked.groupBy("packet").count().count() == 3
+    h = {r["key"]: r["content_hash"] for r in asked.collect()}
+    rows = [("0", h["0"], "ACCEPT", "ann"), ("1", "other", "ACCEPT", "ann"), ("9", h["0"], "ACCEPT", "ann"), ("2", h["2"], "MAYBE", "ann"), ("3", h["3"], "ACCEPT", "ann"), ("3", h["3"], "REJECT", "ann"), ("3", h["3"], "REJECT", "bob"), ("0", h["0"], "ACCEPT", "ann")]
+    good, bad = claims.import_answers(spark, path, spark.createDataFrame(rows, "key string, content_hash string, decision string, reviewer string"))
+    assert {(r["key"], r["reviewer"]) for r in good.collect()} == {("0", "ann"), ("3", "bob")}
+    assert sorted((r["key"], r["issue"]) for r in bad.collect()) == [("1", "CONTENT_CHANGED"), ("2", "INVALID_DECISION"), ("3", "ANSWERED_TWICE"), ("3", "ANSWERED_TWICE"), ("9", "NOT_ASKED")]
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        claims.export_packets(items, path, "item")
+
+
+def test_bundles(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "a.txt").write_text("a")
+    (tmp_path / "in" / "b.txt").write_text("b")
+    files = readers.raw_files(spark, f"{tmp_path}/*.txt").unionByName(readers.raw_files(spark, f"{tmp_path}/in"))
+    m = bundles.manifest(files, str(tmp_path))
+    assert {r["name"] for r in m.collect()} == {"a.txt", "in/b.txt"}
+    assert bundles.bundle_hash(m) == bundles.bundle_hash(m.repartition(3)) and bundles.bundle_hash(m.limit(0)) is None
+    assert bundles.bundle_issues(m, m).count() == 0
+    assert {(r["name"], r["issue"]) for r in bundles.bundle_issues(m, m.unionByName(m.where("name = 'a.txt'"))).collect()} == {("a.txt", "REPEATED_NAME")}
+    codes = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", " ")], "code string, title string")
+    tree = spark.createDataFrame([("1", None), ("2", "9")], "code string, parent string")
+    _, issues = bundles.catalogue(codes, tree, spark.createDataFrame([("e", "x")], "element_id string, name string"), spark.createDataFrame([("7", "f", "s", 1.0, False)], "code string, element_id string, scale string, value double, suppress boolean"))
+    assert {tuple(r) for r in issues.collect()} == {("REPEATED_CODE", "1"), ("TITLE_MISSING", "2"), ("PARENT_MISSING", "2"), ("RATED_CODE_MISSING", "7"), ("ELEMENT_MISSING", "f")}
+
+
+def test_xml_sections_edges(spark):
+    d = spark.createDataFrame([(1, "<html><body>  </body></html>"), (2, "<"), (3, None), (4, "<html><body><p>a</p>\n<p>b</p></body></html>")], "k int, x string")
+    assert {tuple(r) for r in documents.xml_sections(d, "k", "x").collect()} == {(2, 0, None, None, None, "INVALID_XML"), (4, 0, "body", None, "a b", None)}
