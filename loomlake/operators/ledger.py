@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -26,16 +26,24 @@ def latest_ready_run(runs: DataFrame) -> DataFrame:
     return latest_by(runs.where("state = 'READY' AND mode <> 'SMOKE'"), ["source_id"], ["created_at", "run_id"])
 
 
-def as_of_join(left: DataFrame, right: DataFrame, key: str, at: str, right_at: str, right_id: str) -> DataFrame:
-    """Each left row with the last right row of its key up to its time: one sort over both sides, no pairs."""
-    from pyspark.sql import Window
+def as_of_join(left: DataFrame, right: DataFrame, key: str, at: str, right_at: str, right_id: str, slice_seconds: int = 86_400) -> DataFrame:
+    """Each left row with the last right row of its key up to its time, nulls where there is none; of right rows at one time the one of the greatest ``right_id``.
 
-    rest = [c for c in right.columns if c not in (key,)]
-    a = left.withColumn("_side", F.lit(1)).withColumn("_at", F.col(at)).withColumn("_r", F.lit(None).cast(right.select(F.struct(*rest)).schema[0].dataType))
-    b = right.select(key, F.lit(0).alias("_side"), F.col(right_at).alias("_at"), F.struct(*rest).alias("_r"), F.col(right_id).alias("_rid"))
+    Time is cut into slices: rows are sorted within a key and slice, and what was last before a slice is carried over from one row for each key and slice. So a hot
+    key is many tasks, and no pairs are made.
+    """
+    rest = [c for c in right.columns if c != key]
+    part = lambda c: F.floor(F.unix_timestamp(c) / slice_seconds)
+    b = right.select(key, F.lit(0).alias("_side"), F.col(right_at).alias("_at"), F.struct(*rest).alias("_r"), F.col(right_id).alias("_rid")).withColumn("_slice", part("_at"))
+    a = left.withColumns({"_side": F.lit(1), "_at": F.col(at), "_slice": part(at)})
     both = a.unionByName(b, allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy("_at", "_side", "_rid").rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn("_r", F.last("_r", ignorenulls=True).over(w)).where("_side = 1").drop("_side", "_at", "_rid").select(*left.columns, *[F.col("_r")[c].alias(f"asof_{c}") for c in rest])
+    w = Window.partitionBy(key, "_slice").orderBy("_at", "_side", "_rid").rowsBetween(Window.unboundedPreceding, 0)
+    own = both.withColumn("_r", F.last("_r", ignorenulls=True).over(w)).where("_side = 1")
+    ends = both.groupBy(key, "_slice").agg(F.max_by("_r", F.when(F.col("_side") == 0, F.struct("_at", "_rid"))).alias("_end"))
+    before = ends.withColumn("_last", F.last("_end", ignorenulls=True).over(Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)))
+    before = before.select(F.col(key).alias("_k"), F.col("_slice").alias("_s"), "_last")
+    j = own.join(before, F.col(key).eqNullSafe(F.col("_k")) & F.col("_slice").eqNullSafe(F.col("_s")), "left").withColumn("_r", F.coalesce("_r", "_last"))
+    return j.select(*left.columns, *[F.col("_r")[c].alias(f"asof_{c}") for c in rest])
 
 
 def symmetric_difference(expected: DataFrame, actual: DataFrame, bag: bool = False) -> DataFrame:

@@ -373,9 +373,9 @@ def semi_join_customers(spark, sf_dir):
     return t(spark, sf_dir, "customer", "c_custkey").join(t(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi")
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")
 def anti_join_customers(spark, sf_dir):
-    return t(spark, sf_dir, "customer", "c_custkey").join(t(spark, sf_dir, "orders", F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
+    return t(spark, sf_dir, "customer", "c_custkey").join(t(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
 
 
 @query("SELECT l_returnflag, count(DISTINCT (l_suppkey, l_linestatus)) AS pairs FROM lineitem GROUP BY 1")
@@ -507,9 +507,11 @@ def ngram_idf_topk(spark, sf_dir):
     return retrieval.idf_top_k(hits, terms, d.count(), "item_id", "doc_id", 5)
 
 
-@query("""SELECT page_id, count(*) AS paragraphs FROM (SELECT page_id, unnest(regexp_extract_all(html, '<p>')) AS p FROM pages) GROUP BY 1""")
+@query("""WITH p AS (SELECT page_id, regexp_extract_all(html, '<li><a [^>]*>([^<]*)</a></li>', 1) AS l, len(regexp_extract_all(html, '<p>')) AS paragraphs FROM pages) SELECT page_id, sha256(array_to_string(l, '|')) AS items, paragraphs FROM p""")
 def html_sections(spark, sf_dir):
-    return documents_.html_sections(t(spark, sf_dir, "pages"), "page_id", "html").where("kind = 'p'").groupBy("page_id").agg(F.count("*").alias("paragraphs"))
+    d = documents_.html_sections(t(spark, sf_dir, "pages"), "page_id", "html").where("kind IN ('li', 'p')")
+    items = F.filter(F.array_sort(F.collect_list(F.struct("n", "kind", "text"))), lambda x: x["kind"] == "li")
+    return d.groupBy("page_id").agg(F.sha2(F.array_join(F.transform(items, lambda x: x["text"]), "|"), 256).alias("items"), F.count_if(F.col("kind") == "p").alias("paragraphs"))
 
 
 # --- graph and rules ---

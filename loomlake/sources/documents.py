@@ -29,7 +29,7 @@ MAX_MEMBERS = 2000
 def html_sections(pages: DataFrame, key: str, html: str) -> DataFrame:
     """(key, n, kind, text): headings, paragraphs and list items in order, markup dropped; by JVM functions."""
     clean = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", "")
-    parts = F.regexp_extract_all(clean, F.lit(r"(?is)(<(?:h[1-6]|p|li)\b[^>]*>(?:(?!<(?:h[1-6]|p|li|/article|/body|footer)\b).)*)"), F.lit(1))
+    parts = F.regexp_extract_all(clean, F.lit(r"(?is)(<(?:h[1-6]|p|li)\b[^>]*>(?:(?!</?(?:h[1-6]|p|li|ul|ol|div|table|section|article|nav|footer|header|aside|body)\b).)*)"), F.lit(1))
     d = pages.select(key, F.posexplode(parts).alias("n", "part"))
     kind = F.lower(F.regexp_extract("part", r"^<([A-Za-z0-9]+)", 1))
     text = F.trim(F.regexp_replace(F.regexp_replace("part", r"<[^>]*>", ""), r"\s+", " "))
