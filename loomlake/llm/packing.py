@@ -24,8 +24,7 @@ import base64
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +35,7 @@ from .common import chunks, cut, released, table
 
 SEQUENCE = 1024
 END_ID = 2
-CACHE = 200_000  # distinct cuts kept by a Python worker
+CACHE = 400_000  # distinct cuts kept by a Python worker
 VOCABULARY = "byte_bpe_50k"
 SPECIAL = "<|endoftext|>"
 ODD_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -49,6 +48,25 @@ SPARE = 1.2  # open bins for each open item that fits into them
 _tokenizers: dict = {}
 
 
+class Known(dict):
+    """Ids of cuts, as they are asked for; every cut but a text's first keeps the space before it. Cuts of the last generation are moved on when asked for again."""
+
+    def __init__(self, encode: Callable[[str], list[int]], before: str):
+        super().__init__()
+        self.encode, self.before, self.last = encode, before, {}
+
+    def __missing__(self, cut_: str) -> bytes:
+        got = self.last.get(cut_)
+        if got is None:
+            got = array("I", self.encode(self.before + cut_)).tobytes()
+        self[cut_] = got
+        return got
+
+    def age(self) -> None:
+        self.last = dict(self)
+        self.clear()
+
+
 class CachedTokenizer:
     def __init__(self, vocabulary: str):
         import public_tokenizers
@@ -59,7 +77,7 @@ class CachedTokenizer:
         with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encode = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.known: dict[str, bytes] = {}
+        self.first, self.later = Known(self.encode, ""), Known(self.encode, " ")
 
     @staticmethod
     def simple(text: str) -> bool:
@@ -68,20 +86,19 @@ class CachedTokenizer:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cuts: list[list[str] | None] = []
+        if len(self.first) + len(self.later) > CACHE // 2:
+            self.first.age()
+            self.later.age()
+        out, first, later, join = [], self.first, self.later.__getitem__, b"".join
         for t in texts:
-            if t and self.simple(t):
-                # every cut but the first keeps its space
-                first, *rest = t.split(" ")
-                cuts.append([first, *[" " + x for x in rest]])
+            if not t:
+                out.append(b"")
+            elif self.simple(t):
+                cuts = t.split(" ")
+                out.append(join((first[cuts[0]], *map(later, cuts[1:]))))
             else:
-                cuts.append(None if t else [])
-        if len(self.known) > CACHE:
-            self.known.clear()
-        known, encode = self.known, self.encode
-        for new in set(chain.from_iterable(c for c in cuts if c)).difference(known):
-            known[new] = array("I", encode(new)).tobytes()
-        return [b"".join(map(known.__getitem__, c)) if c is not None else self.slow(t) for t, c in zip(texts, cuts, strict=True)]
+                out.append(self.slow(t))
+        return out
 
     def slow(self, text: str) -> bytes:
         ids = self.whole.encode(text, add_special_tokens=False).ids if SPECIAL in text else self.encode(text)
