@@ -65,6 +65,6 @@ def refresh_queue(sources: DataFrame, runs: DataFrame, failures: DataFrame, now:
 
 
 def rolling_usage(events: DataFrame, key: str, at: str, value: str, seconds: int) -> DataFrame:
-    """``used``: sum of a key's values in the window of so many seconds that ends with the row's time."""
-    w = Window.partitionBy(key).orderBy(F.col(at).cast("timestamp").cast("double")).rangeBetween(-seconds, 0)
+    """``used``: sum of a key's values in the window of so many seconds that ends with the row's time, both ends included."""
+    w = Window.partitionBy(key).orderBy(F.unix_micros(F.col(at).cast("timestamp"))).rangeBetween(-seconds * 1_000_000, 0)
     return events.withColumn("used", F.sum(value).over(w))

@@ -271,8 +271,7 @@ def refresh_queue(spark, sf_dir):
 @query("SELECT event_id, CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER (PARTITION BY user_id ORDER BY epoch_us(ts) RANGE BETWEEN 86400000000 PRECEDING AND CURRENT ROW) AS BIGINT) AS used FROM events")
 def rolling_24h_quota(spark, sf_dir):
     e = t(spark, sf_dir, "events").withColumn("cost", F.round(F.col("value") * 100).cast("long"))
-    w = Window.partitionBy("user_id").orderBy(F.unix_micros(F.col("ts").cast("timestamp"))).rangeBetween(-86_400_000_000, 0)
-    return e.select("event_id", F.sum("cost").over(w).alias("used"))
+    return lifecycle.rolling_usage(e, "user_id", "ts", "cost", 86_400).select("event_id", "used")
 
 
 # --- cohort and review ---

@@ -90,11 +90,6 @@ def expected_partitions(codes: DataFrame, code: str, first_year: int, last_year:
     return d.withColumn("partition_id", F.concat(F.lit("year-"), F.col("year"), F.lit("-item-"), F.col(code)))
 
 
-def deep_find(value: Column, key: str) -> Column:
-    """All values under a key at any depth of a JSON text, scalars only."""
-    return F.regexp_extract_all(value, F.lit('"' + key + r'"\s*:\s*("(?:[^"\\]|\\.)*"|-?[0-9.eE+-]+|true|false|null)'), F.lit(1))
-
-
 def body_issue(content: Column, extension: Column, most: int = 50_000_000) -> Column:
     """EMPTY, TOO_LARGE, or MAGIC where the first bytes are not those of the extension."""
     start = F.hex(F.substring(content, 1, 8))
