@@ -6,8 +6,8 @@ each other, level by level; parts that match become one, parts that one side lac
 What comes out is the host's wrapper: a regular expression without unions. Every slot carries what its texts were like: on how
 many pages it stands, whether they were all equal, how many characters were links.
 
-The wrapper decides what is content (``judged``). A slot whose text is the same on the host's differing pages is template. A slot that
-repeats and holds links only is a menu. The element that holds the articles is found by where the varying text stands: an
+The wrapper decides what is content (``judged``). A slot whose text is the same on the host's differing pages is template, but for headings, paragraphs and
+the like inside the element that holds the articles. A slot that repeats and holds links only is a menu. The element that holds the articles is found by where the varying text stands: an
 ``article`` or ``main`` element, else the container of most varying text. Names of elements, classes and roles
 are looked at only beside and inside it, never on the elements around it, and an element that holds a third of it goes only if it
 is named as comments, adverts or the like. To extract a page, its shape is aligned with its host's wrapper, and the texts of content slots are
@@ -420,6 +420,7 @@ def judged(parts: list[Part]) -> list[int]:
         path, k = deeper[0]
         heart = path[: k + 1]
     around = {id(p) for p in heart}
+    core = [id(p) for p in heart] if heart and tag_of(heart[-1][0]) not in ("html", "body") else None
     scale = max(1, mass[id(heart[-1])] if heart else total)
     out = []
     for (path, s), f in zip(own, fixed, strict=True):
@@ -434,7 +435,8 @@ def judged(parts: list[Part]) -> list[int]:
         menu = links >= 0.9 * chars and (s[2] or any(p[2] for p in path))
         if menu and not in_main:
             ok = False
-        if f and not (in_main and path and tag_of(path[-1][0]) in PLAIN):
+        held = in_main or [id(p) for p in path[: len(heart)]] == core
+        if f and not (held and path and tag_of(path[-1][0]) in PLAIN):
             ok = False
         out.append(CONTENT if ok and in_main else ELSE if ok else NOT)
     return out

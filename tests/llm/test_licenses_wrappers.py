@@ -176,6 +176,13 @@ def test_wrapper_decides(spark, monkeypatch, fan_in):
     assert all(alone[k] != want[k] and "Welcome to our pages" in alone[k] for k in want)
 
 
+def test_near_copies_keep_their_headings(spark):
+    rows = [(k, "http://a.example.com/", f'<div class="zz">Our shop sells things</div><div class="yy"><h1>One title</h1><p>{"the same long text on every copy " * 5}</p><p>only on {k}</p></div>') for k in range(5)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    same = ("the same long text on every copy " * 5).strip()
+    assert {r["page_id"]: r["text"] for r in wrappers.extract(df).collect()} == {k: f"One title\n{same}\nonly on {k}" for k in range(5)}
+
+
 def test_copies_of_one_page_are_no_template(spark):
     rows = [(k, "http://a.example.com/", "<div><p>the same text on every copy</p></div>") for k in range(9)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
