@@ -116,10 +116,12 @@ def query_terms(queries: DataFrame, query_id: str, text: str, grams: dict[int, f
 
 def idf_top_k(hits: DataFrame, terms: DataFrame, n_docs: int, query_id: str, doc_id: str, k: int) -> DataFrame:
     """(query_id, doc_id, score, rank) for hits (term, doc_id, location weight): sum of weight * location * ln(1 + N / df)."""
-    hits = cut(hits)
-    df = hits.groupBy("term").agg(F.count_distinct(doc_id).alias("df"))
-    idf = df.select("term", F.log(1 + F.lit(n_docs) / F.col("df")).alias("idf"))
-    s = terms.join(hits, "term").join(idf, "term").groupBy(query_id, doc_id).agg(F.sum(F.col("weight") * F.col("location") * F.col("idf")).alias("score"))
+    # terms meet as numbers, and a hit has its whole part before it meets the queries
+    known = cut(terms.select("term").distinct().withColumn("_n", F.monotonically_increasing_id()))
+    hits = cut(hits.join(known, "term").select("_n", doc_id, "location"))
+    df = hits.groupBy("_n").agg(F.count_distinct(doc_id).alias("df"))
+    parts = hits.join(df, "_n").select("_n", doc_id, (F.col("location") * F.log(1 + F.lit(n_docs) / F.col("df"))).alias("_part"))
+    s = terms.join(known, "term").select(query_id, "_n", "weight").join(parts, "_n").groupBy(query_id, doc_id).agg(F.sum(F.col("weight") * F.col("_part")).alias("score"))
     s = s.withColumn("score", F.round(F.col("score").cast("decimal(28,9)"), 3).cast("double"))
     rank = F.row_number().over(Window.partitionBy(query_id).orderBy(F.desc("score"), doc_id))
     return s.withColumn("rank", rank.cast("long")).where(F.col("rank") <= k)
