@@ -101,8 +101,11 @@ def response_cost(usage: Column) -> Column:
 
 
 def spent(requests: DataFrame, now: Column, hours: int = 24) -> DataFrame:
-    """(key, used, requests) of the last hours for requests (key, at, cost, reserved, state): the cost where it is known, else the reservation; cancelled ones are free."""
-    recent = requests.where((F.unix_timestamp(now) - F.unix_timestamp("at") < hours * 3600) & (F.col("at") <= now))
+    """(key, used, requests) of the last hours for requests (key, at, cost, reserved, state): the cost where it is known, else the reservation; cancelled ones are free.
+
+    The window is exact to the microsecond: a request of the moment ``hours`` before now is out, one just after it is in.
+    """
+    recent = requests.where((F.unix_micros(now) - F.unix_micros(F.col("at").cast("timestamp")) < hours * 3_600_000_000) & (F.col("at") <= now))
     due = F.when(F.col("state") == "CANCELLED", F.lit(0)).otherwise(F.coalesce("cost", "reserved"))
     return recent.groupBy("key").agg(F.sum(due).alias("used"), F.count("*").alias("requests"))
 

@@ -298,3 +298,16 @@ def test_taxonomies_json_and_chains_have_no_depth_bound(spark):
     assert graph.flat_properties(d.where("k > 1"), "k", "j").count() == 0
     chain = hashing.hash_chain(spark.range(150).selectExpr("0 AS k", "id", "CAST(id AS string) AS v"), "k", "id", "v")
     assert chain.select("chain").distinct().count() == 150
+
+
+def test_spend_window_is_exact_to_the_microsecond(spark, tmp_path):
+    at = ["2024-01-19 12:00:00", "2024-01-19 12:00:00.000001", "2024-01-19 12:00:00.5", "2024-01-20 12:00:00", "2024-01-20 12:00:00.000001"]
+    kinds = [("view", 1.0), ("click", 0.125), ("click", 0.375), ("error", 9.0), (None, 2.5), ("click", None), ("view", None)]
+    events = [(100 * k + n, k, s, kind, value) for n, s in enumerate(at) for k, (kind, value) in enumerate(kinds)] + [(900, None, at[2], "click", 0.125), (901, 9, None, "click", 1.0)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE events (event_id BIGINT, user_id BIGINT, ts TIMESTAMP, event_type VARCHAR, value DOUBLE)")
+    con.executemany("INSERT INTO events VALUES (?, ?, ?, ?, ?)", events)
+    con.execute(f"COPY events TO '{tmp_path}/events.parquet'")
+    want = con.execute(ORACLE_SQL["spend_window"]).fetchall()
+    assert (0, 30, 3) in want and (1, 36, 3) in want and (5, None, 3) in want
+    assert rows(QUERIES["spend_window"](spark, str(tmp_path)).select("key", "used", "requests").collect()) == rows(want)
