@@ -580,3 +580,25 @@ def test_word_hashes_tell_words_apart():
     assert words[:6] == [b"a", b"b", b"aa", b"ab", b"abcdefgh", b"abcdefghi"] and rows.tolist() == [0, 6, 6, 8, 8, 10]
     h = common.word_hashes(data, starts, ends)
     assert len(set(h.tolist())) == len(set(words)) and h[4] == h[6] and h[0] == h[7]
+
+
+def test_many_classes_meet_their_texts_without_a_shuffle(spark, monkeypatch):
+    texts = list(enumerate(near_copies(7, 500)))
+    rows = [*texts, (None, "of no id but near to others here"), (None, "another one of no id here too"), (3, "another text under an id that is taken"), (1001, ""), (1002, None), (1003, "one two")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    classes = jaccard.class_digests(df).where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")).withColumn("cid", F.col("d1"))
+    roles = F.explode(F.array(F.lit(True), F.lit(False)))
+    chosen = common.cut(classes.select("rep", "d1", "d2", "cid", "n", F.lit(5).cast("long").alias("family"), F.lit(2).alias("parts"), roles.alias("small")).where("rep IS NULL OR rep % 3 <> 1"))
+    monkeypatch.setattr(jaccard, "SLICE_ROWS", 150)
+    n = chosen.count()
+    for exact in (False, True):
+        monkeypatch.setattr(jaccard, "BROADCAST_ROWS", n)
+        want = jaccard.sets_of(df, chosen, n, exact)
+        monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)
+        got = jaccard.sets_of(df, chosen, n, exact)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and plan.count("MapInArrow") > 2
+        assert sorted(map(tuple, got.distinct().collect())) == sorted(map(tuple, want.distinct().collect())) and got.count() >= n
+    monkeypatch.setattr(jaccard, "EDGES", 50)
+    found = jaccard.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string").repartition(5))
+    assert {tuple(x) for x in found.select("doc_id", "n_shingles", "component_id").collect()} == brute_components(texts)
