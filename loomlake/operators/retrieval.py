@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from operator import itemgetter
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
 from ..functions.text import char_ngrams, words
 from ..storage import cut
@@ -20,6 +23,19 @@ from ..storage import cut
 AUTOMATON_LETTERS = 4_000_000
 
 
+#: Numbers of a table of terms by queries up to which scores are products of matrices.
+SCORE_CELLS = 8_000_000
+
+
+def automaton_of(terms) -> ahocorasick.Automaton:
+    """Aho-Corasick automaton that numbers the terms in order."""
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    for k, w in enumerate(terms):
+        automaton.add_word(w, k)
+    automaton.make_automaton()
+    return automaton
+
+
 def containment_join(texts: DataFrame, terms: DataFrame, text_id: str, text: str, term_id: str, term: str, gram: int = 3, letters: int = AUTOMATON_LETTERS, places: list[tuple[str, float]] | None = None, otherwise: float = 1.0) -> DataFrame:
     """(text_id, term_id): every non-empty term that occurs in a text, each pair once a row of texts.
 
@@ -40,10 +56,7 @@ def containment_join(texts: DataFrame, terms: DataFrame, text_id: str, text: str
     by_term: dict[str, list] = {}
     for r in t.distinct().collect():
         by_term.setdefault(r["_term"], []).append(r["_t"])
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-    for k, w in enumerate(by_term):
-        automaton.add_word(w, k)
-    automaton.make_automaton()
+    automaton = automaton_of(by_term)
     kind, ids = t.schema["_t"].dataType, list(by_term.values())
     shared = texts.sparkSession.sparkContext.broadcast((automaton, ids))
     weights = [w for _, w in places or []]
@@ -127,6 +140,91 @@ def idf_top_k(hits: DataFrame, terms: DataFrame, n_docs: int, query_id: str, doc
     return s.withColumn("rank", rank.cast("long")).where(F.col("rank") <= k)
 
 
+def containment_top_k(texts: DataFrame, terms: DataFrame, n_docs: int, query_id: str, doc_id: str, text: str, k: int, places: list[tuple[str, float]], otherwise: float = 1.0, letters: int = AUTOMATON_LETTERS, cells: int = SCORE_CELLS) -> DataFrame:
+    """(query_id, doc_id, score, rank): what :func:`idf_top_k` gives for the hits of :func:`containment_join`, for terms (query_id, term, weight above 0).
+
+    A hit meets each query that has its term, which is many rows where queries share their terms. So a text's hits are kept as one row of packed
+    numbers, and a batch's scores are a product of two matrices, of which each query's best k of the batch go on. Terms of more than ``letters`` letters, a
+    table of more than ``cells`` numbers and repeated ids of texts take the way over joined rows.
+    """
+    known = [r[0] for r in terms.where("term <> ''").select("term").distinct().orderBy("term").limit(cells + 1).collect()]
+    asked = terms.select(query_id).distinct().count()
+    ids = texts.where(F.col(doc_id).isNotNull()).groupBy(doc_id).count().where("count > 1")
+    if not known or len(known) * asked > cells or sum(len(w) + 1 for w in known) > letters or not ids.isEmpty():
+        hits = containment_join(texts, terms.select("term").distinct(), doc_id, text, "term", "term", letters=letters, places=places, otherwise=otherwise)
+        return idf_top_k(hits, terms, n_docs, query_id, doc_id, k)
+    spark = texts.sparkSession
+    number = {w: n for n, w in enumerate(known)}
+    rows = [(r[0], number[r[1]], float(r[2])) for r in terms.where("term <> ''").select(query_id, "term", "weight").collect()]
+    queries = list(dict.fromkeys(q for q, _, _ in rows))
+    at = {q: n for n, q in enumerate(queries)}
+    table = np.zeros((len(known), len(queries)))
+    for q, n, w in rows:
+        table[n, at[q]] = w
+    shared = spark.sparkContext.broadcast(automaton_of(known))
+    weights, query_type, size = [w for _, w in places], to_arrow_type(terms.schema[query_id].dataType), len(known)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton, second = shared.value, itemgetter(1)
+
+        @lru_cache(100)
+        def within(field: str) -> list[int]:
+            return list(set(map(second, automaton.iter(field))))
+
+        for batch in batches:
+            fields = [batch.column(f"_p{n}").to_pylist() for n in range(len(weights))]
+            packed, codes = [], []
+            for i, body in enumerate(batch.column("_text").to_pylist()):
+                own = np.array(sorted(set(map(second, automaton.iter(body)))), "<u4")
+                code = np.full(len(own), len(weights), np.uint8)
+                for c in range(len(weights) - 1, -1, -1):
+                    if fields[c][i]:
+                        code[np.isin(own, within(fields[c][i]))] = c
+                packed.append(own.tobytes())
+                codes.append(code.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("_d"), pa.array(packed, pa.binary()), pa.array(codes, pa.binary())], ["_d", "terms", "codes"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(size, np.int64)
+        for batch in batches:
+            n += np.bincount(np.frombuffer(b"".join(batch.column("terms").to_pylist()), "<u4"), minlength=size)
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(n)), pa.array(n[n > 0])], ["n", "df"])
+
+    columns = [F.col(c).alias(f"_p{n}") for n, (c, _) in enumerate(places)]
+    d = texts.select(F.col(doc_id).alias("_d"), F.col(text).alias("_text"), *columns).where("_d IS NOT NULL AND _text IS NOT NULL")
+    kind = d.schema["_d"].dataType
+    d = d.repartition(2 * spark.sparkContext.defaultParallelism, "_d")  # tables in one row group are one task's otherwise
+    hits = cut(d.mapInArrow(find, StructType([StructField("_d", kind), StructField("terms", BinaryType()), StructField("codes", BinaryType())])))
+    idf = np.zeros(size)
+    for n, df in hits.select("terms").mapInArrow(count, "n long, df long").groupBy("n").agg(F.sum("df")).collect():
+        idf[n] = np.log(1 + n_docs / df)
+    matrix = spark.sparkContext.broadcast((queries, table, np.outer([*weights, otherwise], idf)))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries, table, parts = matrix.value
+        for batch in batches:
+            batch = batch.take(pc.sort_indices(batch.column("_d")))  # equal scores are in the order of ids
+            own, codes = batch.column("terms").to_pylist(), batch.column("codes").to_pylist()
+            sums = np.zeros((batch.num_rows, table.shape[1]))
+            step = max(1, 1_000_000 // size)
+            for a in range(0, len(own), step):
+                x = np.zeros((min(step, len(own) - a), size))
+                for r in range(len(x)):
+                    t = np.frombuffer(own[a + r], "<u4")
+                    x[r, t] = parts[np.frombuffer(codes[a + r], np.uint8), t]
+                sums[a : a + step] = x @ table
+            # thousandths, by way of nine places as in idf_top_k
+            sums = np.where(sums > 0, (np.floor(sums * 1e9 + 0.5).astype(np.int64) + 500_000) // 1_000_000, -1)
+            best = np.argsort(-sums, axis=0, kind="stable")[:k]
+            q, r = np.broadcast_to(np.arange(table.shape[1]), best.shape).ravel(), best.ravel()
+            q, r = q[sums[r, q] >= 0], r[sums[r, q] >= 0]
+            yield pa.RecordBatch.from_arrays([pa.array([queries[n] for n in q.tolist()], query_type), batch.column("_d").take(pa.array(r)), pa.array(sums[r, q] / 1000.0)], [query_id, doc_id, "score"])
+
+    s = hits.mapInArrow(score, StructType([StructField(query_id, terms.schema[query_id].dataType), StructField(doc_id, kind), StructField("score", DoubleType())]))
+    rank = F.row_number().over(Window.partitionBy(query_id).orderBy(F.desc("score"), doc_id))
+    return s.withColumn("rank", rank.cast("long")).where(F.col("rank") <= k)
+
+
 def bm25_top_k(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query_text: str, k: int, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """(query_id, doc_id, score, rank): the inverted index keeps query terms only, document lengths are of all terms.
 

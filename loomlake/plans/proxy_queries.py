@@ -502,8 +502,8 @@ def ngram_idf_topk(spark, sf_dir):
     terms = retrieval.query_terms(b, "item_id", "text", {3: 0.65, 2: 0.35}, cap=480)
     low = lambda c: F.lower(F.coalesce(c, F.lit("")))
     fields = d.select("doc_id", low(F.col("text")).alias("text"), low(F.split_part("text", F.lit("\n"), F.lit(1))).alias("name"), low(F.col("source")).alias("source"))
-    hits = retrieval.containment_join(fields.withColumn("text", F.concat_ws(" ", "text", "source")), terms.select("term").distinct(), "doc_id", "text", "term", "term", places=[("name", 8.0), ("source", 4.0)])
-    return retrieval.idf_top_k(hits, terms, d.count(), "item_id", "doc_id", 5)
+    whole = fields.withColumn("text", F.concat_ws(" ", "text", "source"))
+    return retrieval.containment_top_k(whole, terms, d.count(), "item_id", "doc_id", "text", 5, [("name", 8.0), ("source", 4.0)])
 
 
 @query("""WITH p AS (SELECT page_id, regexp_extract_all(html, '<li><a [^>]*>([^<]*)</a></li>', 1) AS l, len(regexp_extract_all(html, '<p>')) AS paragraphs FROM pages) SELECT page_id, sha256(array_to_string(l, '|')) AS items, paragraphs FROM p""")

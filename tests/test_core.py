@@ -311,3 +311,18 @@ def test_spend_window_is_exact_to_the_microsecond(spark, tmp_path):
     want = con.execute(ORACLE_SQL["spend_window"]).fetchall()
     assert (0, 30, 3) in want and (1, 36, 3) in want and (5, None, 3) in want
     assert rows(QUERIES["spend_window"](spark, str(tmp_path)).select("key", "used", "requests").collect()) == rows(want)
+
+
+def test_ngram_scores_need_no_row_for_each_hit_and_query(spark, small_corpus, tmp_path):
+    sf_dir, docs, items = small_corpus
+    d = spark.createDataFrame([(k * 100 + i, f"{b or ''} {s or ''}".lower(), (b or "").lower().split("\n")[0], s) for k in range(7) for i, b, s in docs], "doc_id long, text string, name string, source string")
+    terms = retrieval.query_terms(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text", {3: 0.65, 2: 0.35}, cap=480)
+    args = (terms, 56, "item_id", "doc_id", "text", 9, [("name", 8.0), ("source", 4.0)])
+    got = retrieval.containment_top_k(d, *args)
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    want = rows(retrieval.containment_top_k(d, *args, cells=0).select("item_id", "doc_id", "score", "rank").collect())
+    assert rows(got.select("item_id", "doc_id", "score", "rank").collect()) == want and len(want) > 30
+    # repeated ids add up
+    twice = d.unionByName(d.where("doc_id = 1"))
+    assert rows(retrieval.containment_top_k(twice, *args).collect()) == rows(retrieval.containment_top_k(twice, *args, cells=0).collect())
+    assert retrieval.containment_top_k(d.limit(0), *args).count() == 0
