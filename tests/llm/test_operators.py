@@ -602,3 +602,20 @@ def test_many_classes_meet_their_texts_without_a_shuffle(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "EDGES", 50)
     found = jaccard.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string").repartition(5))
     assert {tuple(x) for x in found.select("doc_id", "n_shingles", "component_id").collect()} == brute_components(texts)
+
+
+def test_hamming_drops_far_codes_in_the_join(spark, monkeypatch):
+    r = np.random.default_rng(8)
+    base = r.normal(size=(40, 64))
+    vectors = (base[r.integers(0, 40, 3000)] + 0.4 * r.normal(size=(3000, 64))).round(3)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    seen = []
+    best = hamming._best
+    monkeypatch.setattr(hamming, "_best", lambda pairs, k: seen.append(pairs.count()) or best(pairs, k))
+    got = {(x["query_id"], x["rank"]): (x["neighbour_id"], x["distance"]) for x in hamming.top_k(df, F.col("vec_id") % 100 == 0).collect()}
+    bits = vectors > 0
+    for q in range(0, 3000, 100):
+        far = (bits != bits[q]).sum(axis=1)
+        want = [(i, far[i]) for i in sorted(range(3000), key=lambda i: (far[i], i)) if i != q][:10]
+        assert [got[q, n] for n in range(1, 11)] == want
+    assert len(seen) > 1 and max(seen[1:]) < 30 * 40, seen
