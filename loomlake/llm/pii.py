@@ -7,9 +7,9 @@ It adds credentials (``secret``: keys, tokens, passwords), numbers of persons (`
 without a country code, written-out e-mail addresses and grouped card numbers. A span that overlaps one of a pattern is dropped, the patterns' spans
 stay.
 
-By the model's definition a word more than ``CONTEXT`` words away from every trigger (a word with a digit or an at-sign, a written-out
-at-sign or dot, a word for a password) is outside. Given that, the chain falls into independent stretches, so
-decoding only the stretches gives what decoding whole texts gives; each stretch is scored with the words around it.
+Every word of every text is scored and may get any label. Words of one context (traits of a word and its neighbours, cue words before) have
+equal scores, so each context is scored once. Viterbi then skips the words that no best path labels (``Contexts.open`` has the
+proof): these are outside for sure, the chain falls apart there, and decoding the rest gives what decoding whole texts gives.
 
 Defined results: null and empty texts have no spans; repeated rows get equal results; matches that fail their test
 are dropped without a retry; offsets are code points, ends exclusive; spans of one start are in the order of ``KINDS``; other columns are
@@ -33,7 +33,6 @@ from .common import chunks, give_back, released, table
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret", "id")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS if k != "ip" for p in "BI"))
-CONTEXT = 3  # words around a trigger that may be labelled
 BACK = 4  # words before a word that its features look at
 SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base array<struct<kind:string,start:long,end:long>>, added array<struct<kind:string,start:long,end:long>>"
 
@@ -105,8 +104,6 @@ CUES = {
 }
 _CUE = {w: k for k, words in CUES.items() for w in words.split()}
 _WORD = re.compile(r"\S+")
-_TRIGGER = re.compile(r"(?<!\S)(?:\S*?[0-9@]\S*|\S*?[\[({](?:at|dot)[\])}]\S*|dot(?!\S)|(?i:[^\w\s]*(?:password|passwort|passwd|pwd|contraseña)\b\S*))")
-_MAY = re.compile(r"[0-9@]|[\[({](?:at|dot)[\])}]|dot|(?i:passw|pwd|contrase)")
 _RUN = re.compile(r"[0-9]+|[A-Z]+|[a-z]+|[^0-9A-Za-z]")
 _NAMED = re.compile(r"[A-Za-z][\w.-]*[=:](?=.)")
 _TRIM = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
@@ -166,14 +163,23 @@ def traits(word: str) -> tuple[str, str, str, str]:
     return shape(word.rstrip(".,;:!?#%$*&")), form(word), cue(word), shape(word)
 
 
+Traits = tuple[str, str, str, str]
+START, STOP = ("<s>",) * 4, ("</s>",) * 4
+
+
+def described(word: Traits, before: Traits, after: Traits, near: str, number: bool) -> list[str]:
+    """Features of a word by its context; ``near``: the nearest cue before and its distance."""
+    core, own, said, _ = word
+    kind = near[:-1]
+    return ["s:" + core, "k:" + own, "c:" + said, "n:" + near, "p:" + before[3], "pk:" + before[1], "f:" + after[0], "fk:" + after[1], f"sn:{core}|{kind}", f"kn:{own}|{kind}", f"sp:{core}|{before[0]}", f"sf:{core}|{after[0]}", f"kc:{own}|{said}", f"no:{number}|{kind}", "b"]
+
+
 def features(words: list[str], i: int) -> list[str]:
-    core, own, said, _ = traits(words[i])
-    before = traits(words[i - 1]) if i else ("<s>",) * 4
-    after = traits(words[i + 1]) if i + 1 < len(words) else ("</s>",) * 4
+    before = traits(words[i - 1]) if i else START
+    after = traits(words[i + 1]) if i + 1 < len(words) else STOP
     near = next((f"{c}{k}" for k in range(1, BACK) if i - k >= 0 and (c := traits(words[i - k])[2]) not in ("", "number")), "")
-    kind = near[:-1]
     number = any(i - k >= 0 and traits(words[i - k])[2] == "number" for k in (1, 2))
-    return ["s:" + core, "k:" + own, "c:" + said, "n:" + near, "p:" + before[3], "pk:" + before[1], "f:" + after[0], "fk:" + after[1], f"sn:{core}|{kind}", f"kn:{own}|{kind}", f"sp:{core}|{before[0]}", f"sf:{core}|{after[0]}", f"kc:{own}|{said}", f"no:{number}|{kind}", "b"]
+    return described(traits(words[i]), before, after, near, number)
 
 
 class RandomField:
@@ -187,15 +193,13 @@ class RandomField:
         self.barred = np.where(allowed, 0.0, -1e4)
         self.first = np.array([-1e4 if b.startswith("I-") else 0.0 for b in LABELS])
 
-    def scores(self, words: list[str], free: np.ndarray | None = None) -> np.ndarray:
-        """A row for each word; words that aren't free are outside."""
+    def scores(self, words: list[str]) -> np.ndarray:
+        """A row for each word."""
+        return self.rows([features(words, i) for i in range(len(words))])
+
+    def rows(self, described: list[list[str]]) -> np.ndarray:
         unknown, get = len(self.names), self.names.get
-        out = np.full((len(words), len(LABELS)), -1e6)
-        out[:, 0] = 0
-        at = np.arange(len(words)) if free is None else np.flatnonzero(free)
-        if len(at):
-            out[at] = self.emit[[[get(f, unknown) for f in features(words, i)] for i in at.tolist()]].sum(axis=1)
-        return out
+        return self.emit[[[get(f, unknown) for f in own] for own in described]].sum(axis=1) if described else np.zeros((0, len(LABELS)))
 
     def viterbi(self, emits: list[np.ndarray]) -> list[np.ndarray]:
         """Best labels of each sequence; equally long ones (padded) go together."""
@@ -227,6 +231,129 @@ class RandomField:
         return out
 
 
+class Contexts:
+    """Scores of a random field by context, kept between batches."""
+
+    #: Words and contexts that are kept; beyond, all are forgotten before the next batch.
+    KEPT = 100_000
+    CUES = ("", *(k for k in CUES if k != "number"), "=", *("=" + k for k in CUES))
+
+    class Numbers(dict):
+        """Number of a word's traits; no word is a blank or a line end."""
+
+        def __init__(self) -> None:
+            super().__init__({" ": 0, "\n": 1})
+            self.traits, self.cue, self.number, self.known = [START, STOP], [0, 0], [False, False], {START: 0, STOP: 1}
+
+        def __missing__(self, word: str) -> int:
+            bare = word[:-1] if word[-1] in ".,;:!?" else word
+            if 2 <= len(bare) < 60 and bare.isascii() and bare.isalpha() and (bare.islower() or bare.istitle()) and bare.lower() not in _CUE:
+                # plain words differ by their first letter and their mark only
+                plain = ("xx" if bare.islower() else "Xx") + word[len(bare) :]
+                if plain != word:
+                    n = self[word] = self[plain]
+                    return n
+            own = traits(word)
+            n = self[word] = self.known.setdefault(own, len(self.known))
+            if n == len(self.traits):
+                self.traits.append(own)
+                self.cue.append(0 if own[2] == "number" else Contexts.CUES.index(own[2]))
+                self.number.append(own[2] == "number")
+            return n
+
+    def __init__(self, crf: RandomField):
+        self.crf = crf
+        move = crf.pair + crf.barred
+        plain = [not y.startswith("I-") for y in LABELS]
+        #: (label that begins a span, label that goes on, most that the pairs around and at the begin of a span gain over O, what each further pair gains)
+        self.kinds = []
+        for b in range(1, len(LABELS), 2):
+            i = b + 1
+            into = max((move[:, b] - move[:, 0]).max(), crf.first[b] - crf.first[0])
+            out = max(0.0, (move[[b, i]] - move[0])[:, plain].max())
+            self.kinds.append((b, i, into + out + max(0.0, move[b, i] - move[i, i]), move[i, i] - move[0, 0]))
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers, self.seen, self.table = Contexts.Numbers(), {}, np.zeros((0, len(LABELS)))
+
+    def open(self, rows: np.ndarray, own: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+        """Which of ``size`` places (words ``at`` with scores ``rows[own]``) lie in a span that may be worth its labels.
+
+        Making a span of a path all O leaves a valid path. What that loses is the span's gain: its scores and pairs, those with its neighbours included, over
+        the scores and pairs of O. So no best path has a span of negative gain. The greatest gain of a span around a word is bounded by the
+        best begin up to the word and the best end from it on, which are running maxima over sums of scores.
+        """
+        out = np.zeros(size, bool)
+        gain = rows - rows[:, :1]
+        for b, i, around, on in self.kinds:
+            begin, more = np.full(size, -1e4), np.full(size, -1e4)  # no word: no span
+            begin[at], more[at] = gain[own, b] + around, gain[own, i] + on
+            total = np.cumsum(more)
+            out |= np.maximum.accumulate(begin - total) + np.maximum.accumulate(total[::-1])[::-1] >= -1e-3
+        return out
+
+    def labels(self, texts: list[str]) -> dict[int, np.ndarray]:
+        """Best labels of the words of each text that has any but O."""
+        if max(len(self.numbers), len(self.seen)) > self.KEPT:
+            self.forget()
+        flat: list[str] = []
+        starts, sizes = [], []
+        for t in texts:
+            words = t.split()
+            flat += [" "] * (BACK - 1)
+            starts.append(len(flat))
+            sizes.append(len(words))
+            flat += words
+            flat.append("\n")
+        n = np.fromiter(map(self.numbers.__getitem__, flat), np.int64, len(flat))
+        del flat
+        cue, number = np.array(self.numbers.cue)[n], np.array(self.numbers.number)[n]
+        near, told = np.zeros_like(n), np.zeros(len(n), bool)
+        for k in range(BACK - 1, 0, -1):
+            near[k:] = np.where(cue[:-k] > 0, cue[:-k] * BACK + k, near[k:])
+        for k in (1, 2):
+            told[k:] |= number[:-k]
+        at = np.flatnonzero(n > 1)
+        if not len(at):
+            return {}
+        code = lambda keys: pa.array(keys).dictionary_encode().indices.to_numpy().astype(np.int64)
+        size = len(self.numbers.traits)
+        own = code(((code(n[at - 1] * size + n[at]) * size + n[at + 1]) * (len(self.CUES) * BACK) + near[at]) * 2 + told[at])
+        first = np.zeros(own.max() + 1, np.int64)
+        first[own[::-1]] = at[::-1]
+        rows = self.rows(list(zip(n[first - 1].tolist(), n[first].tolist(), n[first + 1].tolist(), near[first].tolist(), told[first].tolist(), strict=True)))
+        unsure = self.open(rows, own, at, len(n))[at]
+        row = np.full(len(n), -2)  # no word
+        row[at] = -1  # outside
+        row[at[unsure]] = own[unsure]
+        spots = at[unsure]
+        out: dict[int, np.ndarray] = {}
+        if not len(spots):
+            return out
+        cuts = np.flatnonzero(np.diff(spots) > 1) + 1
+        lows, highs = spots[np.r_[0, cuts]], spots[np.r_[cuts - 1, len(spots) - 1]]
+        lows, highs = lows - (row[lows - 1] == -1), highs + (row[highs + 1] == -1)  # with the words outside beside them
+        rows = np.concatenate([rows, [[0.0] + [-1e6] * (len(LABELS) - 1)]])
+        found = self.crf.viterbi([rows[row[a : b + 1]] for a, b in zip(lows.tolist(), highs.tolist(), strict=True)])
+        for low, y in zip(lows.tolist(), found, strict=True):
+            if y.any():
+                i = int(np.searchsorted(starts, low, side="right")) - 1
+                out.setdefault(i, np.zeros(sizes[i], np.int8))[low - starts[i] : low - starts[i] + len(y)] |= y
+        return out
+
+    def rows(self, keys: list[tuple[int, int, int, int, bool]]) -> np.ndarray:
+        """Scores of contexts: numbers of the words before, at and after, the nearest cue, whether a number is told."""
+        new = [k for k in keys if k not in self.seen]
+        if new:
+            t = self.numbers.traits
+            cue = lambda near: f"{self.CUES[near // BACK]}{near % BACK}" if near else ""
+            fresh = [self.crf.rows([described(t[k[1]], t[k[0]], t[k[2]], cue(k[3]), k[4]) for k in new[a : a + 4096]]) for a in range(0, len(new), 4096)]
+            self.seen.update((k, len(self.table) + i) for i, k in enumerate(new))
+            self.table = np.concatenate([self.table, *fresh])
+        return self.table[[self.seen[k] for k in keys]]
+
+
 def training_table(rows: int = 1000, seed: int = 11) -> list[tuple[list[str], list[str]]]:
     """Labelled sentences (words, labels), made by rule: common written forms of personal data among plain words, and other numbers."""
     r = random.Random(seed)
@@ -315,6 +442,25 @@ def training_table(rows: int = 1000, seed: int = 11) -> list[tuple[list[str], li
             middle[-1] += r.choice(["", "", ".", ","])
             labels = ["O"] * len(middle)
         out.append((before + middle + after, ["O"] * len(before) + labels + ["O"] * len(after)))
+    # prose without digits: an "at" that makes no address, words said again and again, letters outside of ASCII
+    at = lambda: r.choice(["at", "at", "at", "At", "at,"])
+    foreign = lambda: r.choice([str, str.title, str.upper])("".join(r.choices("éèáóöüñßç" + letters, k=r.randint(1, 7)))) + mark()
+    prose = [
+        lambda: [*plain(r.randint(1, 4)), at(), *plain(r.randint(1, 4))],
+        lambda: [w for _ in range(r.randint(2, 4)) for w in (*plain(r.choice([0, 1, 1, 2, 3])), at())] + plain(r.randint(1, 4)),
+        lambda: [*plain(1) * r.randint(1, 4), *[r.choice(["at", "At"])] * r.randint(3, 12), *plain(1) * r.randint(1, 4)],
+        lambda: [*["".join(r.choices(syllables, k=r.randint(1, 2)))] * r.randint(1, 4), *["at"] * r.randint(3, 12), *["".join(r.choices(syllables, k=2))] * r.randint(1, 4)],
+        lambda: [*plain(r.randint(0, 2)), *[foreign()] * r.randint(3, 12), *plain(r.randint(0, 2))],
+        lambda: [foreign() for _ in range(r.randint(3, 12))],
+    ]
+    for k in range(rows // 12):
+        words = prose[k % len(prose)]()
+        out.append((words, ["O"] * len(words)))
+    # a written-out address need not follow its cue word at once
+    for _ in range(rows // 80):
+        before, after = [*plain(r.randint(0, 3)), mail(), *plain(1)], plain(r.randint(0, 3))
+        middle = [name(), r.choice(["[at]", "(at)", "at"]), *r.choice([[f"{name()}.com"], [name(), r.choice(["[dot]", "(dot)", "dot"]), r.choice(["com", "org", "net"])]])]
+        out.append((before + middle + after, ["O"] * len(before) + ["B-email"] + ["I-email"] * (len(middle) - 1) + ["O"] * len(after)))
     return out
 
 
@@ -360,69 +506,27 @@ def train(rows: list[tuple[list[str], list[str]]], rounds: int = 80, rate: float
     return crf
 
 
-def stretches(text: str) -> list[tuple[list[str], list[tuple[int, int]], np.ndarray]]:
-    """Words, their places, and which of them are within ``CONTEXT`` words of a trigger: runs of those with the words around them."""
-    if not _MAY.search(text):
-        return []
-    out: list[tuple[list[str], list[tuple[int, int]], np.ndarray]] = []
-    held: list[tuple[int, int]] = []  # places of the words of a run, with BACK words before
-    free: list[bool] = []
-    ahead = CONTEXT + 1  # free words after a trigger, and one that is not
-
-    def left(stop: int, least: int, n: int) -> list[tuple[int, int]]:
-        """Up to n words that end before ``stop`` and begin at ``least`` or after, in order."""
-        got: list[tuple[int, int]] = []
-        while len(got) < n:
-            while stop > least and text[stop - 1].isspace():
-                stop -= 1
-            if stop <= least:
-                break
-            start = stop
-            while start > least and not text[start - 1].isspace():
-                start -= 1
-            got.append((start, stop))
-            stop = start
-        return got[::-1]
-
-    def right(start: int, most: int, n: int) -> list[tuple[int, int]]:
-        got = []
-        for w in _WORD.finditer(text, start, most):
-            got.append(w.span())
-            if len(got) == n:
-                break
-        return got
-
-    def close(most: int) -> None:
-        more = right(held[-1][1], most, ahead)
-        held.extend(more)
-        free.extend([True] * min(CONTEXT, len(more)) + [False] * (len(more) - CONTEXT))
-        out.append(([text[a:b] for a, b in held], list(held), np.array(free)))
-
-    for m in _TRIGGER.finditer(text):
-        start, stop = m.span()
-        gap = left(start, held[-1][1], 2 * CONTEXT + 1) if held else []
-        if held and len(gap) <= 2 * CONTEXT:
-            held += gap
-            free += [True] * len(gap)
-        else:
-            if held:
-                close(len(text))
-            gap = left(start, 0, CONTEXT + BACK)
-            held, free = gap, [False] * max(0, len(gap) - CONTEXT) + [True] * min(CONTEXT, len(gap))
-        held.append((start, stop))
-        free.append(True)
-    if held:
-        close(len(text))
-    return out
+def all_words(text: str) -> list[tuple[list[str], list[tuple[int, int]], np.ndarray]]:
+    """Words, their places, and which of them may be labelled: every one, in one stretch."""
+    places = [m.span() for m in _WORD.finditer(text)]
+    return [([text[a:b] for a, b in places], places, np.ones(len(places), bool))] if places else []
 
 
-def added_spans(crf: RandomField, texts: list[str], base: list[list[Span]], whole: bool = False) -> list[list[Span]]:
-    """Spans of the random field that overlap none of the patterns; ``whole`` decodes all words (for tests)."""
-    found = [(i, s) for i, t in enumerate(texts) for s in (all_words(t) if whole else stretches(t))]
+stretches = all_words
+
+
+def added_spans(crf: RandomField, texts: list[str], base: list[list[Span]], whole: bool = False, contexts: Contexts | None = None) -> list[list[Span]]:
+    """Spans of the random field that overlap none of the patterns; ``whole`` scores and decodes word by word (for tests)."""
+    if whole:
+        found = [(i, w) for i, t in enumerate(texts) for w, _, _ in all_words(t)]
+        labels = dict(zip((i for i, _ in found), crf.viterbi([crf.scores(w) for _, w in found]), strict=True))
+    else:
+        labels = (contexts or Contexts(crf)).labels(texts)
     out: list[list[Span]] = [[] for _ in texts]
-    if not found:
-        return out
-    for (i, (words, places, _)), y in zip(found, crf.viterbi([crf.scores(w, free) for _, (w, _, free) in found]), strict=True):
+    for i, y in labels.items():
+        if not y.any():
+            continue
+        [(_, places, _)] = stretches(texts[i])
         k = 0
         while k < len(y):
             label = LABELS[y[k]]
@@ -441,16 +545,6 @@ def added_spans(crf: RandomField, texts: list[str], base: list[list[Span]], whol
     return out
 
 
-def all_words(text: str) -> list[tuple[list[str], list[tuple[int, int]], np.ndarray]]:
-    places = [m.span() for m in _WORD.finditer(text)]
-    starts = {m.start() for m in _TRIGGER.finditer(text)}
-    at = np.flatnonzero([a in starts for a, _ in places])
-    free = np.zeros(len(places), bool)
-    for k in at.tolist():
-        free[max(0, k - CONTEXT) : k + CONTEXT + 1] = True
-    return [([text[a:b] for a, b in places], places, free)] if places else []
-
-
 def trimmed(text: str, kind: str, start: int, end: int) -> tuple[int, int]:
     """A span without marks around it; a secret without the name that it is given to."""
     if kind == "secret" and (m := _NAMED.match(text[start:end])):
@@ -469,11 +563,12 @@ def find(docs: DataFrame, crf: RandomField | None = None) -> DataFrame:
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        contexts = Contexts(shared.value)
         for batch in batches:
             for part in chunks(batch, "text"):
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 base = [base_spans(t) for t in texts]
-                added = added_spans(shared.value, texts, base)
+                added = added_spans(shared.value, texts, base, contexts=contexts)
                 rows = lambda spans: pa.array([[{"kind": k, "start": a, "end": b} for a, k, b in s] for s in spans], span)
                 counts = [pa.array([sum(k == kind for _, k, _ in s) for s in base], pa.int64()) for kind in BASE_KINDS]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *counts, rows(base), rows(added)], ["doc_id", *(f"n_{k}" for k in BASE_KINDS), "base", "added"])
@@ -502,12 +597,13 @@ def redact(docs: DataFrame, crf: RandomField | None = None) -> DataFrame:
         return "".join([*out, text[at:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        contexts = Contexts(shared.value)
         for batch in batches:
             for part in chunks(batch, "text"):
                 raw = part.column("text").to_pylist()
                 texts = [t or "" for t in raw]
                 base = [base_spans(t) for t in texts]
-                added = added_spans(shared.value, texts, base)
+                added = added_spans(shared.value, texts, base, contexts=contexts)
                 out = [t if t is None else masked(t, b + a) if a or b else t for t, b, a in zip(raw, base, added, strict=True)]
                 yield part.set_column(part.schema.get_field_index("text"), "text", pa.array(out, pa.string()))
 

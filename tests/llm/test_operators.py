@@ -319,6 +319,69 @@ def test_stretches_decode_like_whole_texts(spark, crf):
     assert pii.added_spans(crf, texts, base) == pii.added_spans(crf, texts, base, whole=True)
 
 
+def decoded_word_by_word(crf, text):
+    """Labelled words (place, kind, first of its span) of the whole text: dynamic programming over all words, one at a time."""
+    places = [m.span() for m in re.finditer(r"\S+", text)]
+    words = [text[a:b] for a, b in places]
+    if not words:
+        return []
+    emit = np.array([sum(crf.emit[crf.names.get(f, len(crf.names))] for f in pii.features(words, i)) for i in range(len(words))])
+    best, back = crf.first + emit[0], []
+    for e in emit[1:]:
+        s = best[:, None] + crf.pair + crf.barred + e
+        back.append(s.argmax(axis=0))
+        best = s.max(axis=0)
+    y = [int(best.argmax())]
+    for b in reversed(back):
+        y.append(int(b[y[-1]]))
+    return [(p, pii.LABELS[k]) for p, k in zip(places, reversed(y), strict=True) if k]
+
+
+def test_every_word_may_be_labelled():
+    """Random fields with labels for plain words too, far from digits, at-signs and password words."""
+    assert [w for words, _, _ in pii.stretches("plain words only, far from any number") for w in words] == "plain words only, far from any number".split()
+    bits = ["the", "of", "Anna", "call", "token", "no", "to", "at", "ÉTÉ", "über,", "x", "A.", "12", "x@y", "key=v", "\u200b", "end.", "NO!"]
+    labelled = skipped = 0
+    for seed in range(60):
+        r, g = random.Random(seed), np.random.default_rng(seed)
+        texts = [r.choice(["", " "]) + "".join(r.choice(bits if r.random() < 0.5 else bits[:3]) + r.choice([" ", "\n", "\x1c", "\u2003 "]) for _ in range(r.choice([0, 1, 2, 5, 60, 200]))) for _ in range(12)]
+        names = {}
+        for t in texts:
+            for i in range(len(t.split())):
+                for f in pii.features(t.split(), i):
+                    names.setdefault(f, len(names))
+        crf = pii.RandomField(names)
+        crf.emit[:-1] = g.normal(size=(len(names), len(pii.LABELS))) * r.choice([0.3, 1, 2])
+        crf.emit[names.get("b", 0), 0] += r.choice([2, 5, 8])
+        crf.pair = g.normal(size=crf.pair.shape) * r.choice([0.3, 2])
+        contexts = pii.Contexts(crf)
+        for some in (texts[:5], texts[5:]):  # what a batch leaves behind serves the next one
+            got = contexts.labels(some)
+            for i, t in enumerate(some):
+                places = [p for _, ps, _ in pii.all_words(t) for p in ps]
+                y = got.get(i, np.zeros(len(places), int))
+                assert [(p, pii.LABELS[k]) for p, k in zip(places, y, strict=True) if k] == decoded_word_by_word(crf, t), (seed, t)
+                labelled += int((y > 0).sum())
+                skipped += i not in got
+    assert labelled > 500 and skipped > 100
+
+
+def test_plain_words_have_the_traits_of_their_stand_ins(crf):
+    numbers, r = pii.Contexts(crf).numbers, random.Random(4)
+    for _ in range(5000):
+        w = "".join(r.choices("abcxyzé", k=r.choice([1, 2, 3, 9, 58, 59, 60, 61, 64, 70]))) if r.random() < 0.8 else r.choice(["call", "token", "no", "password", "xx", "at"])
+        w = r.choice([w, w.title(), w.upper(), w + w.title()]) + r.choice(["", "", ".", ",", "!", "?", ";", ":", ".,", "-", "=", ")"])
+        assert numbers.traits[numbers[w]] == pii.traits(w), w
+
+
+def test_labels_need_no_digit_nearby():
+    """A field that labels words beside a cue, more than three words from any digit, at-sign or password word."""
+    crf = pii.RandomField({"n:id1": 0})
+    crf.emit[0, pii.LABELS.index("B-id")] = 9
+    text = "one two three four passport abcdefgh five six seven 8"
+    assert pii.added_spans(crf, [text], [[]]) == [[(text.index("abcdefgh"), "id", text.index(" five"))]]
+
+
 #: Written forms that the training rule has no copy of, each with what is to be found.
 FORMS = [
     ("My SSN is 123-45-6789 thanks", "id", "123-45-6789"),
